@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 #: Cyrillic, Greek and Armenian letters drawn like the Latin letter at the same place.
 DRAWN_ALIKE = ("АВЕКМНОРСТХаеорсухіјѕһԁԛԝϹϲΑΒΕΖΗΙΚΜΝΟΡΤΥΧοЅІЈ", "ABEKMHOPCTXaeopcyxijshdqwCcABEZHIKMNOPTYXoSIJ")
 #: Further characters drawn alike.
-ALSO = [("ѵ", "v"), ("ν", "v"), ("ӏ", "l"), ("ɑ", "a"), ("ı", "i"), ("ɡ", "g"), ("У", "Y"), ("Ү", "Y"), ("ү", "y"), ("օ", "o"), ("ո", "n"), ("ս", "u"), ("հ", "h")]
+ALSO = [("ѵ", "v"), ("ν", "v"), ("ӏ", "l"), ("ɑ", "a"), ("ı", "i"), ("ɡ", "g"), ("У", "Y"), ("Ү", "Y"), ("ү", "y"), ("օ", "o"), ("ո", "n"), ("ս", "u"), ("հ", "h"), ("‧", "·"), ("・", "·"), ("ㆍ", "·"), ("ᆞ", "·")]
 #: Kinds of compatibility decomposition that print the same sign; <square>, <super>, <sub> and others visibly differ.
 SAME_KINDS = ("<wide>", "<narrow>", "<noBreak>")
 
