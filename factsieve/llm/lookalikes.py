@@ -89,7 +89,9 @@ def lookalike_classes() -> list[list[str]]:
 
 
 def representatives(counts: dict[str, int]) -> dict[str, str]:
-    """For each class with an observed member that isn't its representative: {member: representative}.
+    """{member: representative} of the observed members: those that aren't it, and sequences that are it.
+
+    A sequence that represents its class stands in the rules, so that the longest match keeps it whole.
 
     The representative is the member most often stored; ties go to the shortest, then the smallest code points. A
     class that holds the empty string is represented by it.
@@ -100,7 +102,7 @@ def representatives(counts: dict[str, int]) -> dict[str, str]:
         if not seen:
             continue
         best = "" if "" in members else min(seen, key=lambda m: (-counts[m], len(m), m))
-        out.update({m: best for m in seen if m != best})
+        out.update({m: best for m in seen if m != best or len(m) > 1})
     return out
 
 
