@@ -92,8 +92,9 @@ def sector_forms(value: Column) -> Column:
 
 
 #: Words for carrying out a project that are used for one another.
-SAME_WORK = {"만들기": "조성", "변경": "전환", "마련": "구축", "구매": "도입", "운용": "운영"}
+SAME_WORK = {"만들기": "조성", "변경": "전환", "마련": "구축", "구매": "도입", "운용": "운영", "추가설치": "증설", "시공": "설치", "가입": "참여", "대체": "교체"}
 PLACE = r"^(?:[가-힣]{2,4}(?:읍|면|동|시|군|구|지구|마을)\s+)+"
+PLACE_LAST = r"\s+[가-힣]{2,4}(?:읍|면|동|시|지구|마을)$"
 PLACE_GLUED = r"^[가-힣]{2,3}(?:읍|면|동|지구|마을|[내들섬늪뫼울터곶실골숲]?[시군구])"
 
 
@@ -103,14 +104,17 @@ def project_forms(value: Column) -> Column:
     text = F.regexp_replace(F.trim(text), BULLETS, "")
     text = F.regexp_replace(text, r"(?:\s*(?:[0-9]+\)|[-.,:;*]|등|사업|지원|추진|확대))+\s*$", "")
     plain = F.trim(F.regexp_replace(text, r"[\p{P}\s\p{Z}]+", " "))
-    bare = F.regexp_replace(plain, PLACE, "")
+    bare = F.regexp_replace(F.regexp_replace(plain, PLACE, ""), PLACE_LAST, "")
     glued = F.regexp_replace(bare, PLACE_GLUED, "")
 
     def rotations(t: Column) -> Column:
         words = F.split(t, " ")
         n = F.size(words)
         turn = lambda i: F.array_join(F.concat(F.slice(words, i + 1, n), F.slice(words, 1, i)), "")
-        return F.when(n <= 12, F.transform(F.sequence(F.lit(0), n - 1), turn)).otherwise(F.array(F.array_join(words, "")))
+        # A name without spaces may still have its first word, of three to six syllables, at the end.
+        cut = lambda k: F.concat(F.right(t, k), t.substr(F.lit(1), F.length(t) - k))
+        whole = F.when(F.length(t) > 8, F.concat(F.array(t), F.transform(F.sequence(F.lit(3), F.lit(6)), cut))).otherwise(F.array(t))
+        return F.when(n == 1, whole).when(n <= 12, F.transform(F.sequence(F.lit(0), n - 1), turn)).otherwise(F.array(F.array_join(words, "")))
 
     joined = F.array_distinct(F.concat(F.array(F.regexp_replace(plain, " ", "")), rotations(bare), F.array(F.regexp_replace(glued, " ", ""))))
     return F.filter(joined, lambda x: x != "")
@@ -163,17 +167,20 @@ def match_projects(values: DataFrame, catalog: DataFrame, k: int = 4) -> DataFra
     """(value, ref_id, n) for the typed project names that mean an entry of ``catalog`` (ref_id, name).
 
     Pairs within k syllables are found by the pigeonhole join and ranked by letters. The place that a project name begins
-    with must itself agree within two letters (or an exchanged pair), as the same work at another place is another project.
+    with must itself agree within two letters, share half of its syllables or be
+    its first two, as the same work at another place is another project.
     """
     squeeze = lambda c: F.regexp_replace(F.lower(c), r"[\s\p{Z}\p{P}]+", "")
     refs = catalog.select("ref_id", squeeze(F.col("name")).alias("form"), F.split(F.lower("name"), " ")[0].alias("head"))
     forms = values.select("value", F.explode(project_forms(F.col("value"))).alias("form"))
     for word, standard in SAME_WORK.items():
         forms = forms.withColumn("form", F.regexp_replace("form", f"{word}$", standard))
+    forms = forms.withColumn("form", F.regexp_replace("form", "엘이디", "led"))
     pairs = pigeonhole_join(forms.distinct(), refs.select("ref_id", "form"), F.lit(k))
     pairs = pairs.join(F.broadcast(refs.select("ref_id", "head")), "ref_id")
     start = F.substring("form", 1, F.length("head"))
     near = F.levenshtein(letters(start), letters(F.col("head"))) <= 2
-    anagram = F.array_sort(F.split(start, "")) == F.array_sort(F.split("head", ""))
-    pairs = pairs.filter(near | anagram).withColumn("d", F.levenshtein(letters(F.col("form")), letters(F.col("ref_form"))))
+    shared = F.size(F.array_intersect(F.split(start, ""), F.split("head", ""))) * 2 >= F.length("head")
+    begins = F.substring("form", 1, 2) == F.substring("head", 1, 2)
+    pairs = pairs.filter(near | shared | begins).withColumn("d", F.levenshtein(letters(F.col("form")), letters(F.col("ref_form"))))
     return values.join(_best(pairs.select("value", "ref_id", "d")), "value")
