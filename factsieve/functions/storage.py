@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +30,20 @@ def materialize(df: DataFrame, label: str = "t", partition_by: str | None = None
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once an application; executors needn't have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_factsieve_shipped", False):
+        return
+    folder = shared_dir(spark)
+    local = folder[len("file:") :].replace("//", "/", 1) if folder.startswith("file:") else folder if folder.startswith("/") else tempfile.mkdtemp(prefix="factsieve-")
+    os.makedirs(local, exist_ok=True)
+    target = os.path.join(local, f"factsieve-{uuid.uuid4().hex}.zip")
+    root = Path(__file__).resolve().parents[1]
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    context.addPyFile(target)
+    context._factsieve_shipped = True
