@@ -108,8 +108,10 @@ def block_keys(spelled: Column) -> Column:
     return F.array_distinct(F.concat(F.array(tag("a", F.substring(spelled, 1, 5)), tag("z", F.right(spelled, F.lit(5)))), runs))
 
 
-#: Lower ends of the agreement levels of the share of the name that the entry explains, and of the entry that the name shows.
-NAME_LEVELS, ENTRY_LEVELS = (0.5, 0.65, 0.8), (0.3, 0.5, 0.75)
+#: Lower ends of the agreement levels of three shares: of the name's runs of letters that the entry has, of the entry's that
+#: the name has, and of the name's syllables that the entry has, which typing errors and exchanged words hardly lower.
+NAME_LEVELS, ENTRY_LEVELS, SYLLABLE_LEVELS = (0.72, 0.85), (0.5, 0.75), (0.72, 0.85)
+LEVELS = (3, 3, 3, 3, 2)
 
 
 def _level(share: Column, ends: tuple[float, ...]) -> Column:
@@ -117,15 +119,17 @@ def _level(share: Column, ends: tuple[float, ...]) -> Column:
 
 
 def compare_names(names: DataFrame, entries: DataFrame) -> DataFrame:
-    """(name, entry, explained, shown) of the pairs that share a block; ``entries`` is a factor list of fixed size."""
-    left = names.select("name", letters(standard(F.col("name"))).alias("_l"))
-    right = entries.select("entry", letters(standard(undertaking(F.col("entry")))).alias("_r")).distinct()
-    lk = left.select("name", "_l", F.explode(block_keys(F.col("_l"))).alias("_k"))
-    rk = right.select("entry", "_r", F.explode(block_keys(F.col("_r"))).alias("_k"))
-    pairs = lk.join(F.broadcast(rk), "_k").select("name", "_l", "entry", "_r").distinct()
+    """(name, entry, explained, shown, syllables) of the pairs that share a block; ``entries`` is a factor list of fixed size."""
+    left = names.select("name", standard(F.col("name")).alias("_ls")).withColumn("_l", letters(F.col("_ls")))
+    right = entries.select("entry", standard(undertaking(F.col("entry"))).alias("_rs")).distinct().withColumn("_r", letters(F.col("_rs")))
+    lk = left.select("name", "_ls", "_l", F.explode(block_keys(F.col("_l"))).alias("_k"))
+    rk = right.select("entry", "_rs", "_r", F.explode(block_keys(F.col("_r"))).alias("_k"))
+    pairs = lk.join(F.broadcast(rk), "_k").select("name", "_ls", "_l", "entry", "_rs", "_r").distinct()
     a, b = shingles(F.col("_l")), shingles(F.col("_r"))
     common = F.size(F.array_intersect(a, b))
-    return pairs.select("name", "entry", (common / F.size(a)).alias("explained"), (common / F.size(b)).alias("shown"))
+    mine = F.array_distinct(F.split("_ls", ""))
+    same = F.size(F.array_intersect(mine, F.split("_rs", ""))) / F.size(mine)
+    return pairs.select("name", "entry", (common / F.size(a)).alias("explained"), (common / F.size(b)).alias("shown"), same.alias("syllables"))
 
 
 def fit_weights(counts: dict[tuple[int, ...], float], levels: tuple[int, ...], start: float = 0.2, rounds: int = 100) -> dict[tuple[int, ...], float]:
@@ -177,18 +181,17 @@ def link(rows: DataFrame, entries: DataFrame, threshold: float = 0.5) -> DataFra
     pairs = known.join(scored.join(F.broadcast(sides), "entry"), "base")
     sector_level = F.when(F.col("sector").isNull(), 1).when(F.array_contains("sectors", F.col("sector")), 2).otherwise(0)
     year_level = F.coalesce(F.col("year").between(F.col("first"), F.col("last")), F.lit(False)).cast("int")
-    name_level, entry_level = _level(F.col("explained"), NAME_LEVELS), _level(F.col("shown"), ENTRY_LEVELS)
-    patterns = pairs.groupBy(name_level.alias("a"), entry_level.alias("b"), sector_level.alias("c"), year_level.alias("d")).agg(F.sum("n").alias("n"))
-    counted = {(r["a"], r["b"], r["c"], r["d"]): float(r["n"]) for r in patterns.collect()}  # at most 4 * 4 * 3 * 2 rows
-    posterior = fit_weights(counted, (4, 4, 3, 2))
-    verdicts = spark.createDataFrame([(*p, v) for p, v in posterior.items()], "a INT, b INT, c INT, d INT, confidence DOUBLE")
+    name_level, entry_level, syllable_level = _level(F.col("explained"), NAME_LEVELS), _level(F.col("shown"), ENTRY_LEVELS), _level(F.col("syllables"), SYLLABLE_LEVELS)
+    patterns = pairs.groupBy(name_level.alias("a"), entry_level.alias("b"), syllable_level.alias("e"), sector_level.alias("c"), year_level.alias("d")).agg(F.count("*").alias("n"))
+    counted = {(r["a"], r["b"], r["e"], r["c"], r["d"]): float(r["n"]) for r in patterns.collect()}  # at most the product of LEVELS
+    posterior = fit_weights(counted, LEVELS)
+    verdicts = spark.createDataFrame([(*p, v) for p, v in posterior.items()], "a INT, b INT, e INT, c INT, d INT, confidence DOUBLE")
     # The undertaking of a name doesn't depend on the row, so it is decided once a name, with sector and year agreeing.
-    level = scored.select("base", "entry", name_level.alias("a"), entry_level.alias("b"), "explained", "shown")
-    best = level.groupBy("base").agg(F.max_by(F.struct("entry", "a", "b"), F.struct((F.col("explained") + F.col("shown")).alias("s"), "entry")).alias("top")).select("base", "top.*")
+    level = scored.select("base", "entry", name_level.alias("a"), entry_level.alias("b"), syllable_level.alias("e"), "explained", "shown", "syllables")
+    best = level.groupBy("base").agg(F.max_by(F.struct("entry", "a", "b", "e"), F.struct((F.col("explained") + F.col("shown") + F.col("syllables")).alias("s"), "entry")).alias("top")).select("base", "top.*")
     units = entries.select("unit_no", "entry", F.col("sector").alias("_sector"), "first", "last")
-    chosen = best.join(F.broadcast(units), "entry")
     exact = (F.col("_sector") == F.coalesce("sector", "_sector")) & (F.col("year") >= F.col("first")) & (F.col("year") <= F.coalesce("last", F.lit(9999)))
     applied = skew_safe_join(coded, best.join(bases, "base"), "base", "n").drop("n").join(F.broadcast(units), "entry").filter(exact)
     c = F.when(F.col("sector").isNull(), 1).otherwise(2)
-    out = applied.withColumns({"c": c, "d": F.lit(1)}).join(F.broadcast(verdicts), ["a", "b", "c", "d"])
+    out = applied.withColumns({"c": c, "d": F.lit(1)}).join(F.broadcast(verdicts), ["a", "b", "e", "c", "d"])
     return out.filter(F.col("confidence") >= threshold).select("row_id", "unit_no", "confidence")
