@@ -25,7 +25,7 @@ SPELLINGS = {
 DIMENSIONS = 1 << 15
 MAX_N = 3
 #: Documents with a recognised label that the classifier is fitted on, at most (in expectation), and landmarks a language.
-MAX_TRAINING_DOCUMENTS = 3000
+MAX_TRAINING_DOCUMENTS = 1400
 LANDMARKS = 40
 RIDGE = 1e-2
 #: Lines of fewer letters than this take the language of their document.
@@ -112,24 +112,29 @@ def fit(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge:
     finds the training texts whose label it contradicts; the second is made without them, so wrong labels don't count.
     """
     rng = np.random.default_rng(seed)
-    x, y = _dense(texts), np.array([LANGUAGES.index(v) for v in labels])
+    y = np.array([LANGUAGES.index(v) for v in labels])
 
-    def solve(keep: np.ndarray) -> np.ndarray:
-        rows = np.flatnonzero(keep)
-        chosen = np.concatenate([rng.permutation(rows[y[rows] == i])[:landmarks] for i in range(len(LANGUAGES))])
-        z = x[chosen]
+    def solve(rows: np.ndarray) -> LanguageModel:
+        present = np.unique(y[rows])
+        chosen = np.concatenate([rng.permutation(rows[y[rows] == i])[:landmarks] for i in present])
+        z = _dense([texts[i] for i in chosen])
         values, vectors = np.linalg.eigh((z @ z.T).astype(np.float64))
         inverse_root = vectors / np.sqrt(np.maximum(values, 1e-8)) @ vectors.T
-        phi = (x[rows] @ z.T).astype(np.float64) @ inverse_root
+        # Kernel rows against the landmarks are made in blocks: only the landmarks' own matrix is held whole.
+        kernel = np.concatenate([_dense([texts[i] for i in rows[at : at + 128]]) @ z.T for at in range(0, len(rows), 128)])
+        phi = kernel.astype(np.float64) @ inverse_root
         target = np.where(y[rows][:, None] == np.arange(len(LANGUAGES)), 1.0, -1.0)
         per_class = np.bincount(y[rows], minlength=len(LANGUAGES))
-        weight = (len(rows) / np.maximum(per_class, 1) / len(LANGUAGES))[y[rows]][:, None]
+        weight = (len(rows) / np.maximum(per_class, 1) / len(present))[y[rows]][:, None]
         dual = np.linalg.solve(phi.T @ (weight * phi) + ridge * len(rows) * np.eye(phi.shape[1]), phi.T @ (weight * target))
-        return (z.T @ (inverse_root @ dual).astype(np.float32)).astype(np.float32)
-
-    first = solve(np.ones(len(y), bool))
-    agreed = (x @ first).argmax(1) == y
-    return LanguageModel(solve(agreed))
+        return LanguageModel((z.T @ (inverse_root @ dual).astype(np.float32)).astype(np.float32))
+
+    if not texts:
+        return LanguageModel(np.zeros((DIMENSIONS, len(LANGUAGES)), np.float32))
+    everything = np.arange(len(y))
+    scores, _ = solve(everything).scores(texts)
+    agreed = everything[scores.argmax(1) == y]
+    return solve(agreed if len(agreed) else everything)
 
 
 def fit_on(documents: DataFrame, max_documents: int = MAX_TRAINING_DOCUMENTS) -> LanguageModel:
