@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 
 def tokens(col: Column) -> Column:
@@ -26,7 +27,7 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(F.size(F.array_intersect(a, b)).cast("double"), F.size(F.array_union(a, b)).cast("double")), F.lit(0.0))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def caption_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """1 for equal captions, the ratio of lengths where the shorter (8 characters or more) stands in the longer, else the matching-block ratio."""
     out = []

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 MAX_SPAN = 1000
 
@@ -61,7 +62,7 @@ def grid(html: str | None) -> tuple[list[list[str]] | None, int]:
     return [[filled.get((y, x), "") for x in range(width)] for y in range(height)], headers
 
 
-@pandas_udf("struct<rows:array<array<string>>,header_rows:int>")
+@pandas_udf(StructType([StructField("rows", ArrayType(ArrayType(StringType()))), StructField("header_rows", IntegerType())]))
 def html_grid(html: pd.Series) -> pd.DataFrame:
     """Column of HTML tables as struct (rows, header_rows)."""
     out = [grid(h) for h in html]

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 
 def _extract(text: str | None) -> str | None:
@@ -25,7 +26,7 @@ def _extract(text: str | None) -> str | None:
     return None
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _loose(texts: pd.Series) -> pd.Series:
     return texts.map(_extract)
 
