@@ -136,7 +136,10 @@ def contract_dedup(df: DataFrame, keys: list[str], value: str, seq: str = "seq")
                 kept.append(r)
         return pd.DataFrame(kept, columns=list(schema.names))
 
-    merged = bucketed.groupBy("_bucket").applyInPandas(merge, schema)
-    sizes = merged.groupBy(*keys).agg(F.count("*").alias("_n"))
-    same = reduce(lambda a, b: a & b, [merged[k].eqNullSafe(sizes[k]) for k in keys])
-    return merged.join(sizes, same, "left").select(*[merged[c] for c in merged.columns], (F.col("_n") > 1).alias("_conflict"))
+    # Only buckets with several distinct rows have anything to merge; the others don't pass through Python.
+    crowded = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n")).filter("_n > 1").select("_bucket")
+    alone = bucketed.join(crowded, "_bucket", "left_anti").select(*schema.names)
+    merged = alone.unionByName(bucketed.join(crowded, "_bucket", "left_semi").groupBy("_bucket").applyInPandas(merge, schema))
+    sizes = merged.groupBy(*[F.col(k).alias(f"_s_{k}") for k in keys]).agg(F.count("*").alias("_n"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
+    return merged.join(sizes, same, "left").select(*schema.names, (F.col("_n") > 1).alias("_conflict"))

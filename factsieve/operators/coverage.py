@@ -15,7 +15,7 @@ HEADER_FIELD = {"사업명": "name", "과제명": "name", "세부사업명": "na
 
 def unit_token(col: Column) -> Column:
     out = F.regexp_replace(F.lower(col), r"\s+", "")
-    out = F.regexp_replace(F.regexp_replace(F.translate(out, "₂", "2"), "㎡|m²|제곱미터", "m2"), "co2-eq|co2e(?!q)", "co2eq")
+    out = F.regexp_replace(F.regexp_replace(F.translate(out, "₂", "2"), "㎡|m²|제곱미터", "m2"), "co2-eq|co2e$", "co2eq")
     return out
 
 

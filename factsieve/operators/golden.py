@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factsieve.functions.similarity import jaccard
+from factsieve.functions.storage import materialize
 
 TOKEN_JACCARD, BIGRAM_JACCARD, OBSERVE_JACCARD = 0.6, 0.3, 0.2
 
@@ -42,7 +43,8 @@ def relaxed_kernel(golden: DataFrame, output: DataFrame, keys: list[str], veto:
                     break
         return pd.DataFrame(out, columns=["g_row", "o_row"])
 
-    return g.unionByName(o).dropna(subset=keys).groupBy(*keys).applyInPandas(match, "g_row bigint, o_row bigint")
+    shared = golden.select(*keys).distinct().join(output.select(*keys).distinct(), keys)
+    return g.unionByName(o).join(shared, keys, "left_semi").groupBy(*keys).applyInPandas(match, "g_row bigint, o_row bigint")
 
 
 def similar_pairs(golden: DataFrame, output: DataFrame, partition: list[str], items: str, least: float, order: str) -> DataFrame:
@@ -131,7 +133,8 @@ def scope_match(golden: DataFrame, output: DataFrame, strict: list[str], relaxed
         cand = pairs.filter(equal) if both else pairs.join(rival, "g_row", "left").filter(equal | (blank & F.col("_rival").isNull()))
         n = cand.groupBy("g_row").agg(F.count("*").alias("_ng"))
         m = cand.groupBy("o_row").agg(F.count("*").alias("_no"))
-        hit = cand.join(n, "g_row").join(m, "o_row").filter("_ng = 1 AND _no = 1").select("g_row", "o_row", F.lit(number).alias("pass_no"))
+        # Kept once a pass: the rows left and the result both build on it.
+        hit = materialize(cand.join(n, "g_row").join(m, "o_row").filter("_ng = 1 AND _no = 1").select("g_row", "o_row", F.lit(number).alias("pass_no")), "pass")
         found = hit if found is None else found.unionByName(hit)
         g_left = g_left.join(hit.select(F.col("g_row").alias(order)), order, "left_anti")
         o_left = o_left.join(hit.select(F.col("o_row").alias(order)), order, "left_anti")

@@ -85,7 +85,9 @@ def containment_quarantine(df: DataFrame, group: list[str], text: str, quantity:
                 kept.append((i, t, v))
         return pd.DataFrame(out, columns=["row_id", "kept_id"])
 
-    near = firsts.groupBy(*group).applyInPandas(contain, "row_id bigint, kept_id bigint")
+    crowded = firsts.groupBy(*[F.col(g).alias(f"_s_{g}") for g in group]).agg(F.count("*").alias("_n")).filter("_n > 1")
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_s_{g}")) for g in group])
+    near = firsts.join(crowded, same, "left_semi").groupBy(*group).applyInPandas(contain, "row_id bigint, kept_id bigint")
     return copies.unionByName(near)
 
 

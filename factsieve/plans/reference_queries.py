@@ -312,7 +312,7 @@ def wide_to_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.itemize(grids, ["doc_id"]).select("doc_id", F.col("row_no").cast("bigint").alias("row_no"), F.col("column_no").cast("bigint").alias("column_no"), "name", "year", "raw_value")
 
 
-@query("""SELECT "번호" AS unit_no, 1 AS row_no, unnest([1, 2, 3]) - 1 AS column_no, unnest(["부문", "감축사업명", coalesce("단위", '')]) AS value FROM appendix3_reduction_units UNION ALL SELECT "번호", 0, unnest([1, 2, 3]) - 1, unnest(['부문', '감축사업명', '단위']) FROM appendix3_reduction_units""")
+@query("""SELECT "번호" AS unit_no, 1 AS row_no, unnest([1, 2, 3]) - 1 AS column_no, unnest(["부문", "감축사업명", trim(coalesce("단위", ''))]) AS value FROM appendix3_reduction_units UNION ALL SELECT "번호", 0, unnest([1, 2, 3]) - 1, unnest(['부문', '감축사업명', '단위']) FROM appendix3_reduction_units""")
 def html_table_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = table(spark, sf_dir, "appendix3_reduction_units")
     cells = F.concat(*[F.concat(F.lit("<td>"), F.coalesce(c, F.lit("")), F.lit("</td>")) for c in ("부문", "감축사업명", "단위")])
@@ -367,9 +367,10 @@ def resume_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.resume(table(spark, sf_dir, "customer").select("c_custkey"), last, "c_custkey")
 
 
-@query("""SELECT l_orderkey, l_linenumber, running_cost FROM (SELECT l_orderkey, l_linenumber, sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber ROWS UNBOUNDED PRECEDING) AS running_cost FROM lineitem) WHERE running_cost <= 60""")
+@query("""SELECT o_orderkey, running_cost::bigint AS running_cost FROM (SELECT o_orderkey, sum(floor(o_totalprice)::bigint) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS running_cost FROM orders) WHERE running_cost <= 500000""")
 def budget_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.within_budget(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_quantity", 60).select("l_orderkey", "l_linenumber", "running_cost")
+    calls = table(spark, sf_dir, "orders").withColumn("cost", F.floor("o_totalprice"))
+    return ledger.within_budget(calls, "o_custkey", "o_orderkey", "cost", 500_000).select("o_orderkey", "running_cost")
 
 
 @query("""WITH a AS (SELECT payload ->> '$.부문' AS g, doc_id, try_cast(replace(payload ->> '$.목표연도', ',', '') AS int) AS y, min(try_cast(replace(payload ->> '$.기준배출량', ',', '') AS decimal(20,6))::double) AS va FROM raw_extracts WHERE sheet_key = 'reduction_targets' GROUP BY ALL), b AS (SELECT "부문" AS g, doc_id, "목표연도" AS y, min("기준배출량") AS vb, 1 AS h FROM reduction_targets GROUP BY ALL), j AS (SELECT coalesce(a.g, b.g) AS g, va, vb, a.doc_id IS NOT NULL AS ha, b.h IS NOT NULL AS hb FROM (SELECT * FROM a) a FULL JOIN b ON a.g = b.g AND a.doc_id = b.doc_id AND a.y = b.y)
