@@ -47,7 +47,7 @@ def unique_matches(pairs: DataFrame) -> DataFrame:
     """Pairs in which both sides occur once; the others are ambiguous and left for review."""
     n = pairs.groupBy("left_id").agg(F.count("*").alias("_n"))
     m = pairs.groupBy("right_id").agg(F.count("*").alias("_m"))
-    return pairs.join(n, "left_id").join(m, "right_id").filter("_n = 1 AND _m = 1").drop("_n", "_m")
+    return pairs.join(n, "left_id").join(m, "right_id").filter("_n = 1 AND _m = 1").select("left_id", "right_id", "rule")
 
 
 def consolidate(objects: DataFrame, doc: str, page: str) -> DataFrame:
