@@ -89,7 +89,8 @@ def lookalike_classes() -> list[list[str]]:
 
 
 def representatives(counts: dict[str, int]) -> dict[str, str]:
-    """{member: representative} of the observed members: those that aren't it, and sequences that are it.
+    """{member: representative} of the classes with an observed member: its observed code points that aren't it, and all of
+    its sequences, as a sequence may only come about when a character within it is taken out.
 
     A sequence that represents its class stands in the rules, so that the longest match keeps it whole.
 
@@ -102,7 +103,7 @@ def representatives(counts: dict[str, int]) -> dict[str, str]:
         if not seen:
             continue
         best = "" if "" in members else min(seen, key=lambda m: (-counts[m], len(m), m))
-        out.update({m: best for m in seen if m != best or len(m) > 1})
+        out.update({m: best for m in members if len(m) > 1 or m != best and counts.get(m)})
     return out
 
 

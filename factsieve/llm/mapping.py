@@ -39,15 +39,15 @@ def keystrokes(text: Column) -> Column:
 
 
 def segments(refs: DataFrame, k: Column) -> DataFrame:
-    """Cut each reference form into k + 1 segments: (ref_id, form, l, k, i, p, m, piece) with p from 1."""
-    l = F.length("form")  # noqa: E741
-    base = refs.select("ref_id", "form", l.alias("l"), F.least(k, F.greatest(l - 1, F.lit(0))).alias("k"))
-    cut = base.select("*", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("i"))
-    size, longer = F.floor(F.col("l") / (F.col("k") + 1)), F.col("l") % (F.col("k") + 1)
+    """Cut each reference form into k + 1 segments: (_ref, _form, _l, _k, _i, _p, _m, _piece) with _p from 1."""
+    length = F.length("form")
+    base = refs.select(F.col("ref_id").alias("_ref"), F.col("form").alias("_form"), length.alias("_l"), F.least(k, F.greatest(length - 1, F.lit(0))).alias("_k"))
+    cut = base.select("*", F.explode(F.sequence(F.lit(0), F.col("_k"))).alias("_i"))
+    size, longer = F.floor(F.col("_l") / (F.col("_k") + 1)), F.col("_l") % (F.col("_k") + 1)
     # The last `longer` segments are one character longer than the first ones.
-    extra = F.greatest(F.lit(0), F.col("i") - (F.col("k") + 1 - longer))
-    placed = cut.select("*", (F.col("i") * size + extra + 1).cast("int").alias("p"), (size + F.when(F.col("i") >= F.col("k") + 1 - longer, 1).otherwise(0)).cast("int").alias("m"))
-    return placed.withColumn("piece", F.col("form").substr(F.col("p"), F.col("m")))
+    extra = F.greatest(F.lit(0), F.col("_i") - (F.col("_k") + 1 - longer))
+    placed = cut.select("*", (F.col("_i") * size + extra + 1).cast("int").alias("_p"), (size + F.when(F.col("_i") >= F.col("_k") + 1 - longer, 1).otherwise(0)).cast("int").alias("_m"))
+    return placed.withColumn("_piece", F.col("_form").substr(F.col("_p"), F.col("_m")))
 
 
 def pigeonhole_join(values: DataFrame, refs: DataFrame, k: Column) -> DataFrame:
@@ -56,17 +56,18 @@ def pigeonhole_join(values: DataFrame, refs: DataFrame, k: Column) -> DataFrame:
     If at most k edits lead from a reference to a value, one of its k + 1 segments stands unchanged in the value, moved by
     at most k places; so an equality join on (length, segment, substring) loses no pair, and the built-in levenshtein
     verifies. ``refs`` (ref_id, form) is a reference list of proven size; the probes of a value, which depend on the
-    lengths in that list only, come from an equality join on its own length.
+    lengths in that list only, come from an equality join on its own length. A reference form needs at least one more
+    character than edits; empty and null forms match nothing; repeated values give their pairs once.
     """
-    pieces = segments(refs, k)
-    layout = pieces.select("l", "k", "i", "p", "m").distinct()
-    shifts = F.sequence(F.greatest(F.lit(1), F.col("p") - F.col("k")), F.col("p") + F.col("k"))
-    lengths = F.sequence(F.greatest(F.lit(1), F.col("l") - F.col("k")), F.col("l") + F.col("k"))
-    probes = layout.withColumn("at", F.explode(shifts)).withColumn("n", F.explode(lengths)).filter("at + m - 1 <= n").select("l", "i", "m", "at", "n")
-    probed = values.withColumn("n", F.length("form")).join(F.broadcast(probes), "n").withColumn("piece", F.col("form").substr(F.col("at"), F.col("m")))
-    seg = pieces.select("l", "i", "piece", "ref_id", F.col("form").alias("ref_form"), "k")
-    pairs = probed.join(F.broadcast(seg), ["l", "i", "piece"]).select(*values.columns, "ref_id", "ref_form", "k").distinct()
-    return pairs.withColumn("d", F.levenshtein("form", "ref_form")).filter("d <= k").drop("k")
+    pieces = segments(refs.filter(F.length("form") > 0), k)
+    layout = pieces.select("_l", "_k", "_i", "_p", "_m").distinct()
+    shifts = F.sequence(F.greatest(F.lit(1), F.col("_p") - F.col("_k")), F.col("_p") + F.col("_k"))
+    lengths = F.sequence(F.greatest(F.lit(1), F.col("_l") - F.col("_k")), F.col("_l") + F.col("_k"))
+    probes = layout.withColumn("_at", F.explode(shifts)).withColumn("_n", F.explode(lengths)).filter("_at + _m - 1 <= _n").select("_l", "_i", "_m", "_at", "_n")
+    probed = values.withColumn("_n", F.length("form")).join(F.broadcast(probes), "_n").withColumn("_piece", F.col("form").substr(F.col("_at"), F.col("_m")))
+    seg = pieces.select("_l", "_i", "_piece", "_ref", "_form", "_k")
+    pairs = probed.join(F.broadcast(seg), ["_l", "_i", "_piece"]).select(*values.columns, F.col("_ref").alias("ref_id"), F.col("_form").alias("ref_form"), "_k").distinct()
+    return pairs.withColumn("d", F.levenshtein("form", "ref_form")).filter("d <= _k").drop("_k")
 
 
 def swapped(chars: Column) -> Column:
