@@ -60,7 +60,7 @@ def lookalike_classes() -> list[list[str]]:
             continue
         ch = chr(code)
         category = unicodedata.category(ch)
-        if category == "Zs" and ch != " " and ch != " ":
+        if category == "Zs" and ch not in " \u1680":
             sets.union(ch, " ")
             continue
         if category == "Cf" and not 0x600 <= code <= 0x8FF and code < 0xE0000 or code in (0x34F, 0x115F, 0x1160, 0x3164, 0xFFA0) or 0xFE00 <= code <= 0xFE0F:
@@ -85,6 +85,8 @@ def lookalike_classes() -> list[list[str]]:
                 sets.union(unicodedata.normalize("NFC", b + marks), ch)
     for code in range(0xAC00, 0xD7A4):  # Hangul syllables and their conjoining letters
         sets.union(unicodedata.normalize("NFD", chr(code)), chr(code))
+        if (code - 0xAC00) % 28:  # an open syllable and a final letter
+            sets.union(chr(code - (code - 0xAC00) % 28) + chr(0x11A7 + (code - 0xAC00) % 28), chr(code))
     return [c for c in sets.classes() if len(c) > 1]
 
 
@@ -117,15 +119,11 @@ def _automaton(words: Iterator[str] | list[str]) -> ahocorasick.Automaton:
 
 
 def rewrite(text: str, rules: dict[str, str], tree: ahocorasick.Automaton) -> str:
-    """Replace, from the left, the longest member that starts there; repeat until nothing changes.
-
-    A second round is needed only where a removed character stood inside a sequence.
-    """
+    """Replace, from the left, the longest member that starts there, until nothing changes."""
     for _ in range(len(text) + 1):
         out, at = [], 0
         for end, word in tree.iter_long(text):
-            start = end - len(word) + 1
-            out += [text[at:start], rules[word]]
+            out += [text[at : end - len(word) + 1], rules[word]]
             at = end + 1
         new = "".join(out) + text[at:]
         if new == text or not out:
@@ -181,12 +179,14 @@ def consistent_form(df: DataFrame, column: str, rules: dict[str, str]) -> Column
     @F.arrow_udf("string")
     def apply(texts: pa.Array) -> pa.Array:
         own = shared.value
+        # What prints nothing goes first, as it may stand within a sequence.
+        erased = {ord(w): None for w, to in own.items() if not to}
         tree = _automaton(list(own))
         memo: dict[str, str] = {}
         out = []
         for t in texts.to_pylist():
             if t is not None and t not in memo:
-                memo[t] = rewrite(t, own, tree)
+                memo[t] = rewrite(t.translate(erased), own, tree)
             out.append(None if t is None else memo[t])
         return pa.array(out, pa.string())
 

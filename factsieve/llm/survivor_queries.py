@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from factsieve.functions.storage import materialize
 from factsieve.llm.copies import record_key
-from factsieve.llm.copy_queries import FINANCE_EXACT, FINANCE_TEXTS
+from factsieve.llm.copy_queries import FINANCE_EXACT, FINANCE_TEXTS, _sql_key
 from factsieve.llm.survivors import MAX_SOURCES, pick, present, survivors
 from factsieve.plans.tables import table
 
@@ -43,3 +43,12 @@ def p5_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p5_found": p5_found, "p5_sources": p5_sources}
+
+_PRESENT = "CASE WHEN lower(trim(regexp_replace(\"근거ID\", '[\\s\\pZ]+', ' ', 'g'))) NOT IN ('', '-', '—', '미정', '없음', 'n/a') THEN 1 END"
+_RANK = "(SELECT min(trust_rank) FROM source_trust t WHERE replace(lower(t.\"추출원천\"), '_', '') = regexp_replace(lower(\"f\".\"추출원천\"), '[\\s\\pZ_-]+', '', 'g'))"
+ORACLE = {
+    "p5_found": f"""WITH k AS (SELECT row_id, loaded_at, {_sql_key(FINANCE_TEXTS, FINANCE_EXACT)} AS k, CASE WHEN json_valid("출처계보") THEN len(list_distinct(json_extract_string("출처계보", '$[*].evidence_id'))) END AS n, {_PRESENT} AS ev, {_RANK} AS r FROM financial_plan f),
+g AS (SELECT k FROM k GROUP BY k HAVING count(*) > 1), m AS (SELECT k.* FROM k JOIN g USING (k)),
+o AS (SELECT k, min(row_id) OVER (PARTITION BY k) AS first_row_id, row_id, n, ev, r, row_number() OVER (PARTITION BY k ORDER BY coalesce(n, 0) DESC, loaded_at DESC, row_id) AS a, row_number() OVER (PARTITION BY k ORDER BY ev NULLS LAST, coalesce(r, 99), loaded_at DESC, row_id) AS b, row_number() OVER (PARTITION BY k ORDER BY coalesce(r, 99), loaded_at DESC, row_id) AS c FROM m)
+SELECT first_row_id, max(CASE WHEN a = 1 THEN CASE WHEN n > 0 THEN row_id ELSE -1 END END) AS lineage_row_id, max(CASE WHEN b = 1 THEN CASE WHEN ev = 1 THEN row_id ELSE -1 END END) AS evidence_row_id, max(CASE WHEN c = 1 THEN CASE WHEN r IS NOT NULL THEN row_id ELSE -1 END END) AS source_row_id FROM o GROUP BY k, first_row_id""",
+}
