@@ -6,13 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Zero-width characters, which print nothing.
-ZERO_WIDTH = "­​‌‍⁠﻿"
+ZERO_WIDTH = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 #: Cyrillic and Greek capitals and small letters drawn like the Latin letter below them.
 LOOKALIKE_FROM = "АВЕКМНОРСТХаеорсухіϹϲΑΒΕΖΗΙΚΜΝΟΡΤΥΧο"
 LOOKALIKE_TO = "ABEKMHOPCTXaeopcyxiCcABEZHIKMNOPTYXo"
 #: Full-width forms of the printable ASCII characters lie 0xFEE0 above them.
-WIDE_FROM = "".join(chr(0xFF01 + i) for i in range(94)) + "　 "
-WIDE_TO = "".join(chr(0x21 + i) for i in range(94)) + "  "
+WIDE_FROM = "".join(chr(0xFF01 + i) for i in range(94)) + "\u3000\u00a0\u2002\u2009\u202f"
+WIDE_TO = "".join(chr(0x21 + i) for i in range(94)) + " " * 5
 
 
 def plain(col: Column) -> Column:

@@ -29,3 +29,11 @@ def p6_delimiters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p6_found": p6_found, "p6_delimiters": p6_delimiters}
+
+ORACLE = {
+    "p6_found": r"""WITH t AS (SELECT 'financial_plan' AS src, row_id, regexp_extract_all(regexp_replace("출처페이지", '표\s*[0-9]+-[0-9]+', '', 'g'), '[0-9]+(?:\s*[-~–∼]\s*[0-9]+)?') AS s FROM financial_plan UNION ALL SELECT 'document_meta', row_id, [CASE WHEN length(x) = 2 THEN '20' || x ELSE x END for x in regexp_extract_all("목표연도", '[0-9]+')] FROM document_meta),
+u AS (SELECT src, row_id, unnest(s) AS s, generate_subscripts(s, 1) AS i FROM t),
+b AS (SELECT src, row_id, i, regexp_extract(s, '^[0-9]+')::bigint AS lo, regexp_extract(s, '[0-9]+$')::bigint AS hi FROM u),
+v AS (SELECT src, row_id, i, unnest(range(lo, hi + 1)) AS val FROM b),
+p AS (SELECT src, row_id, row_number() OVER (PARTITION BY src, row_id ORDER BY i, val)::int AS pos, val, count(*) OVER (PARTITION BY src, row_id) AS n FROM v) SELECT src, row_id, pos, val FROM p WHERE n > 1""",
+}
