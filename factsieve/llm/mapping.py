@@ -138,6 +138,7 @@ def _best(pairs: DataFrame, popularity: DataFrame | None = None) -> DataFrame:
 
 def map_values(rows: DataFrame, exact: DataFrame, matched: DataFrame) -> DataFrame:
     """(row columns, ref_id): ``matched`` (value, ref_id, n) joined back; values that mean no entry come by an anti-join."""
+    matched = materialize(matched, "matched")  # read twice below
     free = rows.join(F.broadcast(exact.select("value")), "value", "left_anti")
     hits = skew_safe_join(free, matched, "value", "n")
     misses = free.join(matched.select("value"), "value", "left_anti").withColumn("ref_id", F.lit("UNMATCHED"))
