@@ -15,14 +15,18 @@ SEED = 8
 #: Items are searched in blocks of at most this many letters, so that what a task holds is bounded however many items
 #: there are; each block passes over all documents once.
 BLOCK_LETTERS = 4_000_000
-#: A leak is a run of tiles that covers at least this share of the item (half of it, but for a few changed words) ...
+#: A leak is a run of tiles that covers or spans at least this share of the item (about half of it) ...
 COVERAGE = 0.485
+#: ... where a span counts, changed words included, if tiles cover at least this share of it ...
+DENSE = 0.8
 #: ... or tiles in any order that cover this share of it in one place of the document: a reordered passage.
 REORDERED = 0.9
 #: Within a run, at most so many letters lie between two tiles, and the two texts differ there in length by at most DRIFT.
 GAP, DRIFT = 40, 14
-#: Tiles of a leak hold at least this share of the item's seeds: a changed word costs seeds on both of its sides.
-SEED_SHARE = 0.6
+#: Tiles of a leak hold at least this share of the stretch's seeds: a changed word costs seeds on both of its sides.
+SEED_SHARE = 0.25
+#: Beside a tile, matches of so many letters count too if at most NEAR letters lie between: what is left between changed words.
+FRAGMENT, NEAR = 4, 16
 _BASE, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 _TABLE: np.ndarray | None = None
 
@@ -115,18 +119,63 @@ def tiles(p: np.ndarray, q: np.ndarray, size: int = SEED) -> list[tuple[int, int
     return sorted(marked)
 
 
-def longest_run(found: list[tuple[int, int, int]]) -> int:
-    """Most letters covered by tiles that follow one another in both texts with small gaps of like length."""
-    best = [n for *_, n in found]
-    for j, (p, q, n) in enumerate(found):
-        for i in range(j - 1, -1, -1):
-            before, at, length = found[i]
-            gap, other = p - before - length, q - at - length
-            if gap > 4 * GAP:
+def with_fragments(found: list[tuple[int, int, int]], codes: np.ndarray, own: np.ndarray) -> list[tuple[int, int, int]]:
+    """The tiles and, beside them, matches too short for a seed that neither text has marked yet, in document order."""
+    in_doc, in_item = np.zeros(len(codes), bool), np.zeros(len(own), bool)
+    for p, q, n in found:
+        in_doc[p : p + n] = in_item[q : q + n] = True
+    out, queue = list(found), [(t, ahead) for t in found for ahead in (True, False)]
+    while queue:
+        (p, q, n), ahead = queue.pop()
+        reach = NEAR + FRAGMENT
+        i, j = (p + n, q + n) if ahead else (max(p - reach, 0), max(q - reach, 0))
+        i_end, j_end = (min(i + reach, len(codes)), min(j + reach, len(own))) if ahead else (p, q)
+        same = (codes[i:i_end, None] == own[None, j:j_end]) & ~in_doc[i:i_end, None] & ~in_item[None, j:j_end]
+        if min(same.shape, default=0) < FRAGMENT:
+            continue
+        rows, columns = same.shape[0] - FRAGMENT + 1, same.shape[1] - FRAGMENT + 1
+        at = np.argwhere(np.logical_and.reduce([same[k : k + rows, k : k + columns] for k in range(FRAGMENT)]))
+        # Places between the tile and the match, in either text.
+        off = at if ahead else np.array([i_end - i, j_end - j]) - FRAGMENT - at
+        at = at[(abs(off[:, 0] - off[:, 1]) <= DRIFT) & (off.max(axis=1, initial=0) <= NEAR)]
+        if not len(at):
+            continue
+        x, y = (i + int(at[0 if ahead else -1][0]), j + int(at[0 if ahead else -1][1]))
+        length = FRAGMENT
+        while x + length < len(codes) and y + length < len(own) and codes[x + length] == own[y + length] and not (in_doc[x + length] or in_item[y + length]):
+            length += 1
+        while x and y and codes[x - 1] == own[y - 1] and not (in_doc[x - 1] or in_item[y - 1]):
+            x, y, length = x - 1, y - 1, length + 1
+        in_doc[x : x + length] = in_item[y : y + length] = True
+        out.append((x, y, length))
+        queue += [((x, y, length), True), ((x, y, length), False)]
+    return sorted(out)
+
+
+def longest_run(found: list[tuple[int, int, int]], dense: float = DENSE) -> int:
+    """Most letters of the item in a run of tiles that follow one another in both texts with small gaps of like length.
+
+    The letters are those from the first tile to the last, what was changed between them included, where the tiles cover
+    ``dense`` of them, else those covered.
+    """
+    most = 0
+    for first, (_, begin, _) in enumerate(found):
+        best = {first: found[first][2]}
+        for j in range(first, len(found)):
+            p, q, n = found[j]
+            for i in range(j - 1, first - 1, -1):
+                before, at, length = found[i]
+                gap, other = p - before - length, q - at - length
+                if gap > 4 * GAP:
+                    break
+                if i in best and 0 <= gap <= GAP and 0 <= other <= GAP and abs(gap - other) <= DRIFT:
+                    best[j] = max(best.get(j, 0), best[i] + n)
+            if j in best:
+                span = q + n - begin
+                most = max(most, span if best[j] >= dense * span else best[j])
+            elif p - found[max(best)][0] > 4 * GAP + found[max(best)][2]:
                 break
-            if 0 <= gap <= GAP and 0 <= other <= GAP and abs(gap - other) <= DRIFT:
-                best[j] = max(best[j], best[i] + n)
-    return max(best)
+    return most
 
 
 def best_window(found: list[tuple[int, int, int]], item_length: int) -> int:
@@ -176,6 +225,8 @@ def find_leaks(index: SeedIndex, codes: np.ndarray, least: float) -> Iterator[tu
         inside = np.cumsum(mask[:-1]) > 0
         found = tiles(places[inside], q[a:b][inside])
         run, whole = longest_run(found) / size, best_window(found, size) / size
+        if least / 2 <= run < least:
+            run = longest_run(with_fragments(found, codes, index.codes[item[a]])) / size
         if max(run, whole) >= least:
             yield index.ids[item[a]], run, whole
 

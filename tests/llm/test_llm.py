@@ -159,6 +159,19 @@ def test_leaks(spark):
     assert leakage.leaks(docs.limit(0), items).count() == 0
 
 
+def test_leaks_of_half_an_item_with_changed_words():
+    rng = random.Random(8)
+    words = ["".join(rng.choice("가나다라마바사아자차카타파하거너더러머버서어저처커터퍼허") for _ in range(4)) for _ in range(200)]
+    item, chance = words[:50], words[50:100]
+    half = item[12:38]  # 52 % of the letters
+    index = leakage.SeedIndex([1], [leakage.letters_of(" ".join(item))])
+    shared = lambda doc: max([run for _, run, _ in leakage.find_leaks(index, leakage.letters_of(" ".join(words[100:130] + doc + words[130:160])), leakage.COVERAGE)], default=0.0)
+    for changed in ([6], [6, 13], [6, 13, 20], [1, 8, 24]):
+        assert shared([w if i not in changed else "바뀐말들" for i, w in enumerate(half)]) >= leakage.COVERAGE
+    assert shared(item[:20]) == 0.0  # 40 %
+    assert shared([item[i] if i % 4 < 2 else chance[i] for i in range(26)]) == 0.0  # every other pair of words
+
+
 SENTENCES = {"ko": "감축 수단별 비용을 비교한 결과 가장 적게 들었다", "en": "the council compared three routes for land use", "ja": "施工業者は配管を安い単価で計算し直しました", "zh": "施工企业以低单价更换了记录并检查", "de": "die Gemeinde will die Emissionen im Bereich senken", "fr": "le budget du conseil a été reporté pour la mairie", "es": "el municipio quiere reducir las emisiones del sector"}
 
 
