@@ -25,7 +25,9 @@ SPELLINGS = {
 DIMENSIONS = 1 << 15
 MAX_N = 3
 #: Documents with a recognised label that the classifier is fitted on, at most (in expectation), and landmarks a language.
-MAX_TRAINING_DOCUMENTS = 1400
+MAX_TRAINING_DOCUMENTS = 3000
+#: Training texts: lines of a document, chosen by hash over the whole text, and leading characters of each line.
+TRAINING_LINES, LINE_CHARACTERS = 6, 400
 LANDMARKS = 40
 RIDGE = 1e-2
 #: Lines of fewer letters than this take the language of their document.
@@ -132,8 +134,9 @@ def fit(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge:
     if not texts:
         return LanguageModel(np.zeros((DIMENSIONS, len(LANGUAGES)), np.float32))
     everything = np.arange(len(y))
-    scores, _ = solve(everything).scores(texts)
-    agreed = everything[scores.argmax(1) == y]
+    first = solve(everything)
+    best = np.concatenate([first.scores(texts[at : at + 1024])[0].argmax(1) for at in range(0, len(texts), 1024)])
+    agreed = everything[best == y]
     return solve(agreed if len(agreed) else everything)
 
 
@@ -141,7 +144,8 @@ def fit_on(documents: DataFrame, max_documents: int = MAX_TRAINING_DOCUMENTS) ->
     """Fit on lines of a bounded sample of the documents with a recognised label, evenly over the languages.
 
     The documents of a language are taken by the smallest hash of their id up to a seventh of the bound, whatever the
-    size of the corpus; their lines of at most 400 characters are the training texts.
+    size of the corpus; the training texts are the first LINE_CHARACTERS characters of at most TRAINING_LINES lines with
+    six letters or more there, those of the smallest hash wherever in the document they stand.
     """
     lang = label_language(F.col("lang"))
     labelled = documents.select("doc_id", lang.alias("label"), "text").filter(F.col("label").isNotNull() & F.col("text").isNotNull())
@@ -149,13 +153,12 @@ def fit_on(documents: DataFrame, max_documents: int = MAX_TRAINING_DOCUMENTS) ->
     each = max_documents // len(LANGUAGES)
     share = F.create_map(*[F.lit(x) for l, n in counts.items() for x in (l, min(1.0, each / n) * 1e6)])  # noqa: E741
     sample = labelled.filter(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < F.element_at(share, F.col("label"))) if counts else labelled
-    rows = sample.select("doc_id", "label", F.substring("text", 1, 3000).alias("text")).orderBy("doc_id").collect()  # bounded above
-    texts, labels = [], []
-    for r in rows:
-        for line in r["text"].split("\n")[:6]:
-            if sum(ch.isalpha() for ch in line[:400]) >= 6:
-                texts.append(line[:400])
-                labels.append(r["label"])
+    lines = F.transform(F.split("text", "\n"), lambda x: F.substring(x, 1, LINE_CHARACTERS))
+    lines = F.filter(lines, lambda x: x.rlike(r"(?:\p{L}[^\p{L}]*){6}"))
+    chosen = F.slice(F.array_sort(F.transform(lines, lambda x, i: F.struct(F.xxhash64(x, i).alias("h"), x.alias("line")))), 1, TRAINING_LINES)
+    rows = sample.select("doc_id", "label", chosen["line"].alias("lines")).orderBy("doc_id").collect()  # bounded above
+    texts = [line for r in rows for line in r["lines"]]
+    labels = [r["label"] for r in rows for _ in r["lines"]]
     return fit(texts, labels)
 
 

@@ -197,3 +197,11 @@ def test_languages_and_wrong_labels(spark):
 @pytest.mark.parametrize("label,lang", [("한국어", "ko"), ("ko-KR", "ko"), ("ENG", "en"), ("zh-CN", "zh"), ("und", None), ("", None), (None, None), ("-", None)])
 def test_labels(spark, label, lang):
     assert spark.createDataFrame([(label,)], "l string").select(language.label_language(F.col("l")).alias("x")).first()["x"] == lang
+
+
+def test_training_lines_come_from_the_whole_text(spark):
+    head = "12 345\n" * 600  # more than 3,000 characters and six lines without letters
+    df = spark.createDataFrame([(i * 7 + k, lang, head + SENTENCES[lang]) for i in range(8) for k, lang in enumerate(SENTENCES)], "doc_id bigint, lang string, text string")
+    model = language.fit_on(df)
+    scores, _ = model.scores(list(SENTENCES.values()))
+    assert [language.LANGUAGES[i] for i in scores.argmax(1)] == list(SENTENCES)
