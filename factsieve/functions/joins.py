@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: A table is broadcast only if it has at most so many rows when counted.
+BROADCAST_ROWS = 200_000
 #: A key is hot when it holds more than this share of the rows; hence at most 1 / HOT_SHARE keys are hot.
 HOT_SHARE = 1 / 500
 
@@ -14,7 +16,8 @@ def skew_safe_join(rows: DataFrame, per_key: DataFrame, key: str, weight: str, h
 
     Keys whose weight exceeds HOT_SHARE of the total are at most 1 / HOT_SHARE in number whatever the data, so
     that part alone is broadcast; all others go through an ordinary shuffle join. A row that met a hot key takes
-    part in the shuffle under a key of its own, so no task receives a hot group. Null keys match nothing.
+    part in the shuffle under the hash of all its columns, so no task receives a hot group; ``rows`` should carry a row id,
+    as rows alike in every column stay together. Null keys match nothing.
     """
     total = per_key.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("_total"))
     limit = F.greatest(F.col("_total") * F.lit(HOT_SHARE), F.lit(1000))
@@ -35,5 +38,13 @@ def skew_safe_join(rows: DataFrame, per_key: DataFrame, key: str, weight: str, h
     return out.select(*[F.col(c) for c in rows.columns], *[F.col(f"_v.{c}").alias(c) for c in value_cols])
 
 
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint where a count finds at most ``rows`` rows, else as it is, for a shuffle join.
+
+    The count stops at the bound; ``df`` should be a stored table or cheap to compute.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def _is_complex(df: DataFrame, name: str) -> bool:
     return df.schema[name].dataType.typeName() in ("map", "variant")

@@ -12,9 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors share: spark.checkpoint.dir, or a fresh local one where the session names none."""
+    """Folder all executors share: spark.checkpoint.dir, or a fresh local one where a local session names none.
+
+    On a cluster a machine's own folder can't be read by the others, so a session there must name one.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="factsieve-")
         spark.conf.set("spark.checkpoint.dir", named)
         spark.sparkContext.setCheckpointDir(named)
@@ -32,6 +37,18 @@ def materialize(df: DataFrame, label: str = "t", partition_by: str | None = None
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data, whatever file system it is on."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, whatever file system it is on."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers, once an application; executors needn't have it installed."""
     context = spark.sparkContext
