@@ -24,22 +24,25 @@ def keyed_records(spark: SparkSession, sf_dir: str, src: str) -> DataFrame:
     return rows.select(payload_key(F.col("payload"), ["doc_id", "sheet_key"]).alias("key"), F.col("raw_id").alias("id"))
 
 
-def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def all_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, key, id) of all three deliveries; a key holds its table's name, so one ledger serves all."""
     out = None
     for src in SOURCES:
-        keyed = materialize(keyed_records(spark, sf_dir, src), "keys")
-        found = find_copies(keyed, CopyLedger(spark)).select(F.lit(src).alias("src"), "first_id", F.col("id").alias("dup_id"))
-        out = found if out is None else out.unionByName(found)
-    return out
+        part = keyed_records(spark, sf_dir, src).select(F.lit(src).alias("src"), F.unhex(F.md5(F.concat(F.lit(src), F.hex("key")))).alias("key"), "id")
+        out = part if out is None else out.unionByName(part)
+    return materialize(out, "keys")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_copies(all_records(spark, sf_dir), CopyLedger(spark)).select("src", "first_id", F.col("id").alias("dup_id"))
 
 
 def p1_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per distinct record, named by its earliest row, with its number of copies."""
     out = None
     for src in SOURCES:
-        keyed = keyed_records(spark, sf_dir, src)
         ledger = CopyLedger(spark)
-        ledger.absorb(keyed)
+        ledger.absorb(keyed_records(spark, sf_dir, src))
         part = ledger.table().select(F.lit(src).alias("src"), "first_id", F.col("n").alias("copies"))
         out = part if out is None else out.unionByName(part)
     return out
