@@ -12,6 +12,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factsieve.functions.joins import skew_safe_join
+from factsieve.functions.storage import materialize
+
 #: Cyrillic, Greek and Armenian letters drawn like the Latin letter at the same place.
 DRAWN_ALIKE = ("АВЕКМНОРСТХаеорсухіјѕһԁԛԝϹϲΑΒΕΖΗΙΚΜΝΟΡΤΥΧοЅІЈ", "ABEKMHOPCTXaeopcyxijshdqwCcABEZHIKMNOPTYXoSIJ")
 #: Further characters drawn alike.
@@ -49,9 +52,9 @@ class UnionFind:
 def lookalike_classes() -> list[list[str]]:
     """Transitive classes of strings and code points that print alike, by rule from the Unicode character data.
 
-    Joined are: a code point and its wide, narrow or no-break counterpart; special spaces and the space; characters
-    that print nothing and the empty string; letters of other scripts drawn alike; a composed character and every
-    sequence of base and marks in which the base is any member of its class. The alphabet bounds the size.
+    Joined are: a code point and its wide, narrow or no-break counterpart; a Roman numeral and the letters it is drawn
+    with; special spaces and the space; characters that print nothing and the empty string; letters of other scripts drawn
+    alike; a composed character and every sequence of base and marks in which the base is any member of its class. The alphabet bounds the size.
     """
     sets = UnionFind()
     composed: list[tuple[str, str, str]] = []
@@ -67,7 +70,7 @@ def lookalike_classes() -> list[list[str]]:
             sets.union(ch, "")
             continue
         kind, _, rest = unicodedata.decomposition(ch).partition(" ")
-        if kind in SAME_KINDS:
+        if kind in SAME_KINDS or kind == "<compat>" and category == "Nl":
             sets.union(ch, "".join(chr(int(x, 16)) for x in rest.split()))
         elif kind and kind[0] != "<":
             full = unicodedata.normalize("NFD", ch)
@@ -201,13 +204,12 @@ def find_variants(rows: DataFrame, rules: dict[str, str]) -> DataFrame:
     case. Plain texts are reduced to their smallest id before the shuffle, and the join is balanced by the number of
     variants of each text.
     """
-    from factsieve.functions.joins import skew_safe_join
-
     rows = rows.filter(F.col("text").isNotNull() & F.col("scope").isNotNull())
     changed = F.col("text").rlike(trigger_pattern(rules))
     key = lambda text: F.unhex(F.md5(F.concat(F.hex("scope"), F.lit("\u0001"), text)))
     plain = rows.filter(~changed).select("src", "row_id", key(F.col("text")).alias("key"), F.lit(0).alias("variant"))
-    maybe = rows.filter(changed).withColumn("form", consistent_form(rows, "text", rules))
+    # The rewriter's one pass is stored, as what it gives is read several times below.
+    maybe = materialize(rows.filter(changed).select("src", "row_id", "scope", "text", consistent_form(rows, "text", rules).alias("form")), "forms")
     maybe = maybe.select("src", "row_id", F.when(F.trim("form") != "", key(F.col("form"))).alias("key"), (F.col("form") != F.col("text")).cast("int").alias("variant"))
     both = plain.unionByName(maybe).filter(F.col("key").isNotNull())
     stored = both.groupBy("key").agg(F.min(F.when(F.col("variant") == 0, F.col("row_id"))).alias("first"), F.sum("variant").alias("n")).filter("first IS NOT NULL AND n > 0")
