@@ -21,15 +21,21 @@ LANE_TOKENS = 4_000_000
 
 
 def token_counts(documents: DataFrame, id_col: str, text_col: str, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(id, n_tokens BIGINT) of whole texts under a byte-level tokenizer read from ``vocabulary``; null text has none."""
+    """(id, n_tokens BIGINT) of whole texts under a byte-level tokenizer read from ``vocabulary``; null text has none.
+
+    The driver reads the vocabulary, a file of fixed size, and sends it to the executors once.
+    """
+    import public_tokenizers
+
+    with open(vocabulary, "rb") as f:
+        shared = documents.sparkSession.sparkContext.broadcast((f.read(), public_tokenizers.PATTERN))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import public_tokenizers
         import tiktoken
 
-        with open(vocabulary, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        content, pattern = shared.value
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}
+        encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         for batch in batches:
             sizes = [len(encoding.encode_ordinary(t)) if t else 0 for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], names=["id", "n_tokens"])
@@ -41,7 +47,8 @@ def best_fit(sizes: list[int], capacity: int, open_bins: int) -> tuple[list[int]
     """Bin number and offset of each item, none above ``capacity``, placed in the order given.
 
     Open bins are found by a bitset of their free space: the lowest set bit at or above an item's size is the tightest
-    bin that takes it. With ``open_bins`` bins open and none that fits, the fullest one closes.
+    bin that takes it. With ``open_bins`` bins open and none that fits, the fullest one closes; an item that fills its
+    own bin needs no open one and closes none.
     """
     free_bits, at_free, n_open, n_bins = 0, {}, 0, 0
     bins, offsets = [], []
@@ -54,7 +61,7 @@ def best_fit(sizes: list[int], capacity: int, open_bins: int) -> tuple[list[int]
                 free_bits ^= 1 << free
             n_open -= 1
         else:
-            if n_open == open_bins:
+            if n_open == open_bins and size < capacity:
                 fullest = (free_bits & -free_bits).bit_length() - 1
                 at_free[fullest].pop()
                 if not at_free[fullest]:

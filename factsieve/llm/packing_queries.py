@@ -15,9 +15,10 @@ def p8_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Number of sequences and the share of their capacity in use."""
+    """Number of sequences, the least possible for so many tokens, and the share of the capacity in use."""
     used = p8_sequences(spark, sf_dir)
-    return used.agg(F.count_distinct("sequence_id").alias("n_sequences"), F.sum("n_tokens").alias("n_tokens")).withColumn("fill", F.round(F.try_divide(F.col("n_tokens"), F.col("n_sequences") * CAPACITY), 4))
+    total = used.agg(F.count_distinct("sequence_id").alias("n_sequences"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n_tokens"))
+    return total.select("n_sequences", F.ceil(F.col("n_tokens") / CAPACITY).alias("least_sequences"), "n_tokens", F.round(F.try_divide(F.col("n_tokens"), F.col("n_sequences") * CAPACITY), 4).alias("fill"))
 
 
 QUERIES = {"p8_sequences": p8_sequences, "p8_fill": p8_fill}
