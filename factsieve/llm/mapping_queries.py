@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factsieve.functions.joins import broadcast_if_small
 from factsieve.llm.mapping import distinct_values, map_values, match_projects, match_sectors
 from factsieve.plans.tables import table
 
@@ -20,7 +21,7 @@ def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = _stated(emissions.select(F.lit("emissions_regional").alias("src"), "row_id", F.lit("부문").alias("field_name"), F.col("부문").alias("value")).unionByName(projects.select(F.lit("appendix4_projects").alias("src"), "row_id", F.lit("부문").alias("field_name"), F.col("부문").alias("value"))))
     named = _stated(projects.select(F.lit("appendix4_projects").alias("src"), "row_id", F.lit("사업명").alias("field_name"), F.col("사업명").alias("value")))
     sector_names, project_names = sectors.select(F.col("name").alias("value")).distinct(), catalog.select(F.col("name").alias("value")).distinct()
-    uses = typed.join(F.broadcast(sectors.select("ref_id", F.col("name").alias("value"))), "value").groupBy("ref_id").agg(F.count("*").alias("uses"))
+    uses = typed.join(broadcast_if_small(sectors.select("ref_id", F.col("name").alias("value"))), "value").groupBy("ref_id").agg(F.count("*").alias("uses"))
     out = map_values(typed, sector_names, match_sectors(distinct_values(typed, sector_names), sectors, uses))
     return out.unionByName(map_values(named, project_names, match_projects(distinct_values(named, project_names), catalog)))
 
