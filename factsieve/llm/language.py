@@ -26,12 +26,12 @@ DIMENSIONS = 1 << 15
 MAX_N = 3
 #: Documents with a recognised label that the classifier is fitted on, at most (in expectation), and landmarks a language.
 MAX_TRAINING_DOCUMENTS = 3000
-#: Training texts: lines of a document, chosen by hash over the whole text, and leading characters of each line.
-TRAINING_LINES, LINE_CHARACTERS = 6, 400
+#: Training texts: so many whole lines of a document at most, chosen by hash over the whole text.
+TRAINING_LINES = 6
 LANDMARKS = 40
 RIDGE = 1e-2
-#: Lines of fewer letters than this take the language of their document.
-MIN_LETTERS = 2
+#: Lines without a letter take the language of their document.
+MIN_LETTERS = 1
 
 
 def label_language(label: Column) -> Column:
@@ -50,7 +50,7 @@ def _codes(text: str) -> np.ndarray:
     global _KEEP
     if _KEEP is None:
         table = np.full(0x110000, 32, dtype=np.uint32)
-        for i in range(0x30000):
+        for i in range(0x110000):
             ch = chr(i)
             if ch.isalpha() and not 0xD800 <= i < 0xE000:
                 low = ch.lower()
@@ -94,9 +94,16 @@ def _dense(texts: list[str]) -> np.ndarray:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Weights (dimensions x languages): the landmarks' dual coefficients carried over to the n-gram space."""
+    """Weights (dimensions x languages): the landmarks' dual coefficients carried over to the n-gram space; and the slope
+    and intercept of the calibrated confidence."""
 
     weights: np.ndarray
+    slope: float = 4.0
+    intercept: float = 0.0
+
+    def confidence(self, lead: np.ndarray) -> np.ndarray:
+        """Probability that the best language is right, from its lead over the second."""
+        return 1 / (1 + np.exp(-np.clip(self.slope * lead + self.intercept, -500, 500)))
 
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """One-versus-rest scores of a batch by one product of its sparse presence matrix, and letters per text."""
@@ -110,6 +117,8 @@ class LanguageModel:
 def fit(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE, seed: int = 5) -> LanguageModel:
     """Kernel ridge regression on Nyström features, one language against the rest, classes weighted alike.
 
+    The confidence is calibrated on every fifth text, scored by a model of the others.
+
     The kernel of two texts is the number of n-grams both have over the geometric mean of their numbers. A first fit
     finds the training texts whose label it contradicts; the second is made without them, so wrong labels don't count.
     """
@@ -136,27 +145,51 @@ def fit(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge:
     everything = np.arange(len(y))
     first = solve(everything)
     best = np.concatenate([first.scores(texts[at : at + 1024])[0].argmax(1) for at in range(0, len(texts), 1024)])
-    agreed = everything[best == y]
-    return solve(agreed if len(agreed) else everything)
+    agreed = everything[best == y] if (best == y).any() else everything
+    held = agreed[np.arange(len(agreed)) % 5 == 0]
+    kept = np.setdiff1d(agreed, held)
+    final = solve(agreed)
+    if not len(kept) or len(np.unique(y[kept])) < 2:
+        return final
+    part = solve(kept)
+    scores = np.concatenate([part.scores([texts[i] for i in held[at : at + 1024]])[0] for at in range(0, len(held), 1024)])
+    ranked = np.sort(scores, axis=1)
+    return LanguageModel(final.weights, *_calibrate(ranked[:, -1] - ranked[:, -2], scores.argmax(1) == y[held]))
+
+
+def _calibrate(lead: np.ndarray, hit: np.ndarray, rounds: int = 50) -> tuple[float, float]:
+    """Slope and intercept of the logistic regression of hits on leads, by Newton's method.
+
+    Two made-up pairs of a hit and a miss with no lead keep it finite where every text was a hit.
+    """
+    x = np.column_stack([np.append(lead, np.zeros(4)), np.ones(len(lead) + 4)])
+    target = np.append(hit.astype(float), [1, 0, 1, 0])
+    beta = np.array([4.0, 0.0])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -500, 500)))
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        step = np.linalg.solve(hessian, x.T @ (target - p) - 1e-3 * beta)
+        beta = beta + np.clip(step, -5, 5)
+        if abs(step).max() < 1e-6:
+            break
+    return float(max(beta[0], 0.0)), float(beta[1])
 
 
 def fit_on(documents: DataFrame, max_documents: int = MAX_TRAINING_DOCUMENTS) -> LanguageModel:
     """Fit on lines of a bounded sample of the documents with a recognised label, evenly over the languages.
 
     The documents of a language are taken by the smallest hash of their id up to a seventh of the bound, whatever the
-    size of the corpus; the training texts are the first LINE_CHARACTERS characters of at most TRAINING_LINES lines with
-    six letters or more there, those of the smallest hash wherever in the document they stand.
+    size of the corpus; the training texts are at most TRAINING_LINES whole lines with six letters or more, those of the
+    smallest hash wherever in the document they stand. The counts read no text, so the texts are read once here.
     """
-    lang = label_language(F.col("lang"))
-    labelled = documents.select("doc_id", lang.alias("label"), "text").filter(F.col("label").isNotNull() & F.col("text").isNotNull())
+    labelled = documents.select("doc_id", label_language(F.col("lang")).alias("label"), "text").filter(F.col("label").isNotNull())
     counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}  # at most seven rows
     each = max_documents // len(LANGUAGES)
     share = F.create_map(*[F.lit(x) for l, n in counts.items() for x in (l, min(1.0, each / n) * 1e6)])  # noqa: E741
     sample = labelled.filter(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < F.element_at(share, F.col("label"))) if counts else labelled
-    lines = F.transform(F.split("text", "\n"), lambda x: F.substring(x, 1, LINE_CHARACTERS))
-    lines = F.filter(lines, lambda x: x.rlike(r"(?:\p{L}[^\p{L}]*){6}"))
+    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"(?:\p{L}[^\p{L}]*){6}"))
     chosen = F.slice(F.array_sort(F.transform(lines, lambda x, i: F.struct(F.xxhash64(x, i).alias("h"), x.alias("line")))), 1, TRAINING_LINES)
-    rows = sample.select("doc_id", "label", chosen["line"].alias("lines")).orderBy("doc_id").collect()  # bounded above
+    rows = sample.filter(F.col("text").isNotNull()).select("doc_id", "label", chosen["line"].alias("lines")).orderBy("doc_id").collect()  # bounded above
     texts = [line for r in rows for line in r["lines"]]
     labels = [r["label"] for r in rows for _ in r["lines"]]
     return fit(texts, labels)
@@ -166,8 +199,9 @@ def label_lines(documents: DataFrame, model: LanguageModel) -> DataFrame:
     """(doc_id, seg INT, lang, confidence DOUBLE): seg 0 the whole document, then its non-blank lines in order.
 
     Every line of the whole text is scored. A document's language is the one with most letters over its lines; lines
-    with hardly a letter, and with them empty documents, follow it; where no line has letters the language is null with
-    confidence 0. Confidence is the logistic of the lead over the second language, for a document weighted by letters.
+    without a letter, and with them empty documents, follow it; where no line has letters the language is null with
+    confidence 0. Confidence is the calibrated logistic of the lead over the second language, for a document weighted by
+    letters.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)  # a matrix of fixed size
 
@@ -190,6 +224,8 @@ def _label(model: LanguageModel, ids: list[int], texts: list[str | None]) -> pa.
                 owner.append(i)
     scores, letters = model.scores(lines)
     order = np.argsort(scores, axis=1) if len(lines) else np.zeros((0, 2), int)
+    every = np.arange(len(lines))
+    sure = model.confidence(scores[every, order[:, -1]] - scores[every, order[:, -2]])
     out: dict[str, list] = {"doc_id": [], "seg": [], "lang": [], "confidence": []}
     at = 0
     for i, doc in enumerate(ids):
@@ -205,9 +241,7 @@ def _label(model: LanguageModel, ids: list[int], texts: list[str | None]) -> pa.
         rows = []
         for seg, k in enumerate(mine, 1):
             if letters[k] >= MIN_LETTERS or main is None:
-                best, second = order[k, -1], order[k, -2]
-                lead = scores[k, best] - scores[k, second]
-                rows.append((seg, None if main is None else LANGUAGES[best], 0.0 if main is None else float(1 / (1 + np.exp(-4 * lead)))))
+                rows.append((seg, None if main is None else LANGUAGES[order[k, -1]], 0.0 if main is None else float(sure[k])))
             else:
                 rows.append((seg, LANGUAGES[main], 0.5))
         whole = float(sum(c * letters[k] for (_, l, c), k in zip(rows, mine) if main is not None and l == LANGUAGES[main]) / max(total.sum(), 1))  # noqa: E741
