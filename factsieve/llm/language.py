@@ -45,8 +45,11 @@ def label_language(label: Column) -> Column:
 _KEEP: np.ndarray | None = None
 
 
-def _codes(text: str) -> np.ndarray:
-    """Code points in lower case, digits as one sign and any run of other signs as one space."""
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts, one after another, and the number of the text each belongs to.
+
+    Lower case, digits as one sign and any run of other signs as one space, a space before and after each text.
+    """
     global _KEEP
     if _KEEP is None:
         table = np.full(0x110000, 32, dtype=np.uint32)
@@ -58,30 +61,36 @@ def _codes(text: str) -> np.ndarray:
             elif ch.isdigit():
                 table[i] = 48
         _KEEP = table
-    codes = _KEEP[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
-    padded = np.concatenate(([32], codes, [32])).astype(np.uint64)
-    same = np.concatenate(([False], (padded[1:] == padded[:-1]) & ((padded[1:] == 32) | (padded[1:] == 48))))
-    return padded[~same]
+    joined = " " + "  ".join(texts) + " "
+    codes = _KEEP[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)].astype(np.uint64)
+    owner = np.repeat(np.arange(len(texts)), [len(t) + 2 for t in texts])
+    repeated = (codes[1:] == codes[:-1]) & ((codes[1:] == 32) | (codes[1:] == 48)) & (owner[1:] == owner[:-1])
+    keep = np.concatenate(([True], ~repeated))
+    return codes[keep], owner[keep]
 
 
-def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def features(texts: list[str], block: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Presence features of a batch as rows of a sparse matrix: (indices, starts, letters per text)."""
-    indices, starts, letters, at = [], [], [], 0
-    for text in texts:
-        c = _codes(text)
-        letters.append(int(((c != 32) & (c != 48)).sum()))
-        grams = [c * np.uint64(0x9E3779B97F4A7C15)]
-        for n in range(2, MAX_N + 1):
-            if len(c) >= n:
-                h = np.zeros(len(c) - n + 1, dtype=np.uint64)
-                for i in range(n):
-                    h = h * np.uint64(0x100000001B3) + c[i : len(c) - n + 1 + i]
-                grams.append((h + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15))
-        ids = np.unique(np.concatenate(grams) >> np.uint64(64 - 15)).astype(np.int64)
-        starts.append(at)
-        indices.append(ids)
-        at += len(ids)
-    return np.concatenate(indices) if indices else np.zeros(0, np.int64), np.array(starts, np.int64), np.array(letters, np.int64)
+    indices, sizes, letters = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at in range(0, len(texts), block):
+        part = texts[at : at + block]
+        c, owner = _codes(part)
+        present = np.zeros(len(part) * DIMENSIONS, bool)
+        for n in range(1, MAX_N + 1):
+            if len(c) < n:
+                break
+            inside = owner[: len(c) - n + 1] == owner[n - 1 :]
+            h = np.zeros(len(c) - n + 1, dtype=np.uint64)
+            for i in range(n):
+                h = h * np.uint64(0x100000001B3) + c[i : len(c) - n + 1 + i]
+            ids = ((h + np.uint64(n if n > 1 else 0)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - 15)).astype(np.int64)
+            present[(owner[: len(ids)] * DIMENSIONS + ids)[inside]] = True
+        flat = np.flatnonzero(present)
+        indices.append(flat % DIMENSIONS)
+        sizes.append(np.bincount(flat // DIMENSIONS, minlength=len(part)))
+        letters.append(np.bincount(owner[(c != 32) & (c != 48)], minlength=len(part)))
+    size = np.concatenate(sizes)
+    return np.concatenate(indices), np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64) if len(size) else size, np.concatenate(letters)
 
 
 def _dense(texts: list[str]) -> np.ndarray:
@@ -124,6 +133,18 @@ def fit(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge:
     """
     rng = np.random.default_rng(seed)
     y = np.array([LANGUAGES.index(v) for v in labels])
+    ids, starts, _ = features(texts)
+    ends = np.append(starts, len(ids))[1:]
+
+    def products(rows: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+        """The sparse rows of some texts, of length one, times a dense matrix, in blocks."""
+        out = np.zeros((len(rows), matrix.shape[1]), np.float32)
+        for at in range(0, len(rows), 64):
+            part = rows[at : at + 64]
+            sizes = ends[part] - starts[part]
+            flat = np.concatenate([ids[a:b] for a, b in zip(starts[part], ends[part])])
+            out[at : at + 64] = np.add.reduceat(matrix[flat], np.concatenate(([0], np.cumsum(sizes)[:-1])), axis=0) / np.sqrt(sizes)[:, None]
+        return out
 
     def solve(rows: np.ndarray) -> LanguageModel:
         present = np.unique(y[rows])
@@ -131,9 +152,8 @@ def fit(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge:
         z = _dense([texts[i] for i in chosen])
         values, vectors = np.linalg.eigh((z @ z.T).astype(np.float64))
         inverse_root = vectors / np.sqrt(np.maximum(values, 1e-8)) @ vectors.T
-        # Kernel rows against the landmarks are made in blocks: only the landmarks' own matrix is held whole.
-        kernel = np.concatenate([_dense([texts[i] for i in rows[at : at + 128]]) @ z.T for at in range(0, len(rows), 128)])
-        phi = kernel.astype(np.float64) @ inverse_root
+        # Kernel rows against the landmarks are sparse products: only the landmarks' own matrix is held whole.
+        phi = products(rows, np.ascontiguousarray(z.T)).astype(np.float64) @ inverse_root
         target = np.where(y[rows][:, None] == np.arange(len(LANGUAGES)), 1.0, -1.0)
         per_class = np.bincount(y[rows], minlength=len(LANGUAGES))
         weight = (len(rows) / np.maximum(per_class, 1) / len(present))[y[rows]][:, None]
@@ -144,7 +164,7 @@ def fit(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge:
         return LanguageModel(np.zeros((DIMENSIONS, len(LANGUAGES)), np.float32))
     everything = np.arange(len(y))
     first = solve(everything)
-    best = np.concatenate([first.scores(texts[at : at + 1024])[0].argmax(1) for at in range(0, len(texts), 1024)])
+    best = products(everything, first.weights).argmax(1)
     agreed = everything[best == y] if (best == y).any() else everything
     held = agreed[np.arange(len(agreed)) % 5 == 0]
     kept = np.setdiff1d(agreed, held)
@@ -152,7 +172,7 @@ def fit(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge:
     if not len(kept) or len(np.unique(y[kept])) < 2:
         return final
     part = solve(kept)
-    scores = np.concatenate([part.scores([texts[i] for i in held[at : at + 1024]])[0] for at in range(0, len(held), 1024)])
+    scores = products(held, part.weights)
     ranked = np.sort(scores, axis=1)
     return LanguageModel(final.weights, *_calibrate(ranked[:, -1] - ranked[:, -2], scores.argmax(1) == y[held]))
 
