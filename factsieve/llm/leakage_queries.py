@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from factsieve.llm.leakage import COVERAGE, REORDERED, leaks
+from factsieve.llm.leakage import leaks
 from factsieve.plans.tables import table
 
 
@@ -15,7 +14,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p9_shares(spark, sf_dir).filter((F.col("run") >= COVERAGE) | (F.col("share") >= REORDERED)).select("doc_id", "item_id")
+    return p9_shares(spark, sf_dir).select("doc_id", "item_id")
 
 
 QUERIES = {"p9_found": p9_found, "p9_shares": p9_shares}
