@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factsieve.functions.joins import skew_safe_join
+from factsieve.functions.joins import broadcast_if_small, skew_safe_join
 from factsieve.functions.storage import materialize
 from factsieve.functions.text import plain
 from factsieve.llm.mapping import letters
@@ -33,7 +33,6 @@ bems 빌딩에너지관리시스템
 휴경농지 묵은밭
 경로당 노인정
 갯벌 개펄
-한우 소
 조명 전등
 공영주차장 공용주차장
 산단 산업단지
@@ -84,9 +83,7 @@ def standard(text: Column) -> Column:
     for line in SYNONYMS:
         first, *others = line.split()[:1] + line.split()[1:] if line.split() else ("",)
         for other in others:
-            if len(other) == 1:  # a single syllable counts as a word only where it isn't part of one
-                out = F.regexp_replace(out, f"^{other}(?=저메탄)|(?<=저메탄사료){other}(?=급여)", first)
-            elif first.endswith(other):
+            if first.endswith(other):
                 out = F.regexp_replace(out, f"(?<!{first[: -len(other)]}){other}", first)
             elif other.startswith(first):
                 out = F.regexp_replace(out, other, first)
@@ -124,7 +121,7 @@ def compare_names(names: DataFrame, entries: DataFrame) -> DataFrame:
     right = entries.select("entry", standard(undertaking(F.col("entry"))).alias("_rs")).distinct().withColumn("_r", letters(F.col("_rs")))
     lk = left.select("name", "_ls", "_l", F.explode(block_keys(F.col("_l"))).alias("_k"))
     rk = right.select("entry", "_rs", "_r", F.explode(block_keys(F.col("_r"))).alias("_k"))
-    pairs = lk.join(F.broadcast(rk), "_k").select("name", "_ls", "_l", "entry", "_rs", "_r").distinct()
+    pairs = lk.join(broadcast_if_small(rk), "_k").select("name", "_ls", "_l", "entry", "_rs", "_r").distinct()
     a, b = shingles(F.col("_l")), shingles(F.col("_r"))
     common = F.size(F.array_intersect(a, b))
     mine = F.array_distinct(F.split("_ls", ""))
@@ -157,13 +154,19 @@ def fit_weights(counts: dict[tuple[int, ...], float], levels: tuple[int, ...], s
     return {tuple(int(x) for x in p): float(v) for p, v in zip(patterns, post)}
 
 
+def _combo(*columns: str) -> Column:
+    """128-bit key of a combination of values."""
+    return F.unhex(F.md5(F.to_json(F.struct(*columns)))).alias("combo")
+
+
 def link(rows: DataFrame, entries: DataFrame, threshold: float = 0.5) -> DataFrame:
     """(row_id, unit_no, confidence): financing rows and the factor entries of the same undertaking, with the posterior.
 
     ``rows`` has row_id, name, sector (null: none stated) and year; ``entries``, a list of fixed size, unit_no, entry,
     sector, first and last (null: open). Names, sectors and years are compared by level for every distinct combination;
-    the estimation runs over the counts of all of them. Of a name's undertakings only the best by posterior and name is
-    kept; an entry applies only if its years hold the row's (checked exactly, as is the sector where the row has one).
+    the estimation runs over the counts of all of them. Of the entries of a combination only the one with the highest
+    posterior over all five comparisons is kept; it applies only if its years hold the row's (checked exactly, as is the
+    sector where the row has one).
     Null and blank names and null years give no row.
     """
     spark = rows.sparkSession
@@ -178,7 +181,7 @@ def link(rows: DataFrame, entries: DataFrame, threshold: float = 0.5) -> DataFra
     sides = entries.groupBy("entry").agg(F.collect_set("sector").alias("sectors"), F.min("first").alias("first"), F.max(F.coalesce("last", F.lit(9999))).alias("last"))
     weights = scored.groupBy("base").agg(F.count("*").alias("_w"))
     known = skew_safe_join(combos, weights, "base", "_w").drop("_w")
-    pairs = known.join(scored.join(F.broadcast(sides), "entry"), "base")
+    pairs = known.join(scored.join(broadcast_if_small(sides), "entry"), "base")
     sector_level = F.when(F.col("sector").isNull(), 1).when(F.array_contains("sectors", F.col("sector")), 2).otherwise(0)
     year_level = F.coalesce(F.col("year").between(F.col("first"), F.col("last")), F.lit(False)).cast("int")
     name_level, entry_level, syllable_level = _level(F.col("explained"), NAME_LEVELS), _level(F.col("shown"), ENTRY_LEVELS), _level(F.col("syllables"), SYLLABLE_LEVELS)
@@ -186,12 +189,13 @@ def link(rows: DataFrame, entries: DataFrame, threshold: float = 0.5) -> DataFra
     counted = {(r["a"], r["b"], r["e"], r["c"], r["d"]): float(r["n"]) for r in patterns.collect()}  # at most the product of LEVELS
     posterior = fit_weights(counted, LEVELS)
     verdicts = spark.createDataFrame([(*p, v) for p, v in posterior.items()], "a INT, b INT, e INT, c INT, d INT, confidence DOUBLE")
-    # The undertaking of a name doesn't depend on the row, so it is decided once a name, with sector and year agreeing.
-    level = scored.select("base", "entry", name_level.alias("a"), entry_level.alias("b"), syllable_level.alias("e"), "explained", "shown", "syllables")
-    best = level.groupBy("base").agg(F.max_by(F.struct("entry", "a", "b", "e"), F.struct((F.col("explained") + F.col("shown") + F.col("syllables")).alias("s"), "entry")).alias("top")).select("base", "top.*")
+    # Every combination of name, sector and year takes the entry of the highest posterior; ties go to the larger shares.
+    level = {"a": name_level, "b": entry_level, "e": syllable_level, "c": sector_level, "d": year_level}
+    judged = pairs.withColumns(level).join(F.broadcast(verdicts), list(level))
+    order = F.struct("confidence", (F.col("explained") + F.col("shown") + F.col("syllables")).alias("s"), "entry")
+    best = judged.groupBy("base", "sector", "year").agg(F.max_by(F.struct("entry", "confidence"), order).alias("top"), F.first("n").alias("n"))
+    best = best.filter(F.col("top.confidence") >= threshold).select(_combo("base", "sector", "year"), "n", "top.*")
     units = entries.select("unit_no", "entry", F.col("sector").alias("_sector"), "first", "last")
     exact = (F.col("_sector") == F.coalesce("sector", "_sector")) & (F.col("year") >= F.col("first")) & (F.col("year") <= F.coalesce("last", F.lit(9999)))
-    applied = skew_safe_join(coded, best.join(bases, "base"), "base", "n").drop("n").join(F.broadcast(units), "entry").filter(exact)
-    c = F.when(F.col("sector").isNull(), 1).otherwise(2)
-    out = applied.withColumns({"c": c, "d": F.lit(1)}).join(F.broadcast(verdicts), ["a", "b", "e", "c", "d"])
-    return out.filter(F.col("confidence") >= threshold).select("row_id", "unit_no", "confidence")
+    applied = skew_safe_join(coded.select("*", _combo("base", "sector", "year")), best, "combo", "n").join(broadcast_if_small(units), "entry").filter(exact)
+    return applied.select("row_id", "unit_no", "confidence")
