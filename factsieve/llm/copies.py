@@ -47,8 +47,8 @@ def payload_key(payload: Column, leading: list[str]) -> Column:
     return F.unhex(F.md5(F.concat_ws(SEPARATOR, *[F.coalesce(F.col(c), F.lit(NULL_MARK)) for c in leading], body)))
 
 
-#: Bytes of keys a bucket of a new ledger is made for.
-BUCKET_BYTES = 64 << 20
+#: Rows of the first batch that a bucket of a new ledger is made for.
+BUCKET_ROWS = 4_000_000
 
 
 class CopyLedger:
@@ -108,8 +108,7 @@ class CopyLedger:
         if any(tag == known for *_, known in self._states()):
             return False
         if not self.buckets:
-            size = int(str(batch.select("key")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-            self.buckets = max(self.spark.sparkContext.defaultParallelism, min(size // BUCKET_BYTES, 100_000))
+            self.buckets = max(self.spark.sparkContext.defaultParallelism, batch.count() // BUCKET_ROWS)
         target = self.generation + 1
         remove(self.spark, f"{self.folder}/{target}")  # what a failed attempt may have left
         partitions = self.spark.conf.get("spark.sql.shuffle.partitions")
