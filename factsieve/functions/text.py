@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,3 +36,23 @@ def folded(col: Column) -> Column:
 def alnum_fold(col: Column) -> Column:
     """Lower case, only ASCII letters and digits and Hangul syllables."""
     return F.regexp_replace(F.lower(col), "[^0-9a-z가-힣]+", "")
+
+
+#: All Hangul syllables in the order of their code points.
+SYLLABLES = "".join(chr(c) for c in range(0xAC00, 0xD7A4))
+
+
+def composed(col: Column) -> Column:
+    """Conjoining Hangul letters put together into syllables; a text without any stays as it is."""
+    tail = r"[\x{11a8}-\x{11c2}]"
+
+    def put(text: Column, pattern: str, code: Callable[[Column], Column]) -> Column:
+        found = F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), 1), lambda x: F.lit(SYLLABLES).substr(code(x) + 1, F.lit(1)))
+        between = F.split(text, pattern, -1)
+        return F.array_join(F.transform(between, lambda b, i: F.concat(b, F.coalesce(F.get(found, i), F.lit("")))), "")
+
+    at = lambda x, i: F.ascii(F.substring(x, i, 1))
+    last = lambda x: F.when(F.length(x) == 3, at(x, 3) - 0x11A7).otherwise(0)
+    whole = put(col, rf"[\x{{1100}}-\x{{1112}}][\x{{1161}}-\x{{1175}}]{tail}?", lambda x: (at(x, 1) - 0x1100) * 588 + (at(x, 2) - 0x1161) * 28 + last(x))
+    both = put(whole, rf"[가-힣]{tail}", lambda x: at(x, 1) - 0xAC00 + at(x, 2) - 0x11A7)
+    return F.when(col.rlike(r"[\x{1100}-\x{11ff}]"), both).otherwise(col)

@@ -9,27 +9,38 @@ from factsieve.functions.joins import skew_safe_join
 
 #: Candidate delimiters as Java patterns, each a character class or word that can't be part of a number.
 CANDIDATES = {"comma": ",", "semicolon": ";", "slash": "/", "bar": r"\|", "middle_dot": "[·ㆍ‧・]", "ideographic": "、", "newline": r"\n", "and": r"(?<=[0-9년쪽\s])(?:및|and|&)(?=[\s0-9])"}
-#: A span of at most this many values; longer ones are no page spans (fixed value).
-MAX_SPAN = 5000
+#: Pages of a span that one generated row holds at first; longer spans go through several.
+SPAN_CHUNK = 4096
 #: Two runs of digits: only such a text can hold several values.
 SEVERAL = r"[0-9][^0-9]+[0-9]"
-SPAN = r"^([0-9]{1,9})\s*[-‐‑‒–—~∼～〜]\s*([0-9]{1,9})$"
+SPAN = r"^([0-9]{1,18})\s*[-‐‑‒–—~∼～〜]\s*([0-9]{1,18})$"
 
 
 def _strip_notation(text: Column, kind: str) -> Column:
-    """Drop list brackets, quotes, remarks and the words that go with a value, and leave values and delimiters."""
-    out = F.regexp_replace(text, "\\r\\n?", "\n")
+    """Drop list brackets, remarks and the words that go with a value, and leave values, delimiters and double quotes."""
+    out = F.regexp_replace(F.regexp_replace(text, "\\r\\n?", "\n"), "[“”]", '"')
+    # Quotes around the whole field are no part of it.
+    out = F.regexp_replace(out, r'^\s*"([^"]*)"\s*$', "$1")
     if kind == "page":
         out = F.regexp_replace(out, r"(?i)(?:표|그림|부록|table|figure|fig\.)\s*[0-9]+(?:\s*[-.–]\s*[0-9]+)*", "")
         out = F.regexp_replace(out, r"(?i)\bpp?\s*\.?\s*(?=[0-9])|쪽|페이지|면", "")
-        return F.regexp_replace(out, "[\\[\\]\"'“”()]", " ")
+        return F.regexp_replace(out, r"[\[\]'()]", " ")
     out = F.regexp_replace(out, r"\([^()0-9]*\)", "")
     out = F.regexp_replace(out, r"(?<![0-9])['’‘＇´`]\s*([0-9]{2})(?![0-9])", "20$1")
-    return F.regexp_replace(F.regexp_replace(out, "년도?", ""), "[\\[\\]\"'“”]", " ")
+    return F.regexp_replace(F.regexp_replace(out, "년도?", ""), r"[\[\]']", " ")
+
+
+def _split(text: Column, pattern: Column) -> Column:
+    """Pieces of a text between delimiters that stand outside double quotes, without their quotes; blank ones are left out."""
+    outside = F.concat(F.lit("(?:"), pattern, F.lit(r')(?=(?:[^"]*"[^"]*")*[^"]*$)'))
+    marked = F.when(F.contains(text, F.lit('"')), F.regexp_replace(text, outside, F.lit("\u0001"))).otherwise(F.regexp_replace(text, pattern, F.lit("\u0001")))
+    pieces = F.transform(F.split(marked, "\u0001"), lambda p: F.trim(F.regexp_replace(p, r'["\s\p{Z}]+', " ")))
+    return F.filter(pieces, lambda p: p != "")
 
 
 def _regular(piece: Column, kind: str) -> Column:
-    return piece.rlike(r"^\s*(?:[12][0-9]{3})?\s*$") if kind == "year" else piece.rlike(r"^\s*(?:[0-9]{1,9}(?:\s*[-‐‑‒–—~∼～〜]\s*[0-9]{1,9})?)?\s*$")
+    """Whether a piece is one value of its kind: a year of four digits, or a page or span of pages."""
+    return piece.rlike(r"^[12][0-9]{3}$") if kind == "year" else piece.rlike(r"^[0-9]{1,18}$") | piece.rlike(SPAN)
 
 
 def delimiter_scores(df: DataFrame, text_col: str, source_col: str, kind: str) -> DataFrame:
@@ -42,7 +53,7 @@ def delimiter_scores(df: DataFrame, text_col: str, source_col: str, kind: str) -
     """
     text = _strip_notation(F.col(text_col), kind)
     any_delim = "|".join(CANDIDATES.values())
-    pieces = F.filter(F.split(text, any_delim), lambda p: F.trim(p) != "")
+    pieces = _split(text, F.lit(any_delim))
     base = df.filter(F.col(text_col).rlike(SEVERAL)).select(F.col(source_col).alias("source"), text.alias("_t"), pieces.alias("_p"))
     good = F.size(F.filter("_p", lambda p: _regular(p, kind)))
     base = base.withColumn("_n", F.size("_p")).withColumn("_g", good)
@@ -56,42 +67,57 @@ def delimiter_scores(df: DataFrame, text_col: str, source_col: str, kind: str) -
     return out.withColumn("score", F.coalesce(F.col("regularity"), F.lit(0.0)) * F.coalesce(F.col("consistency"), F.lit(0.0)))
 
 
+def _pieces(df: DataFrame, id_col: str, text_col: str, source_col: str, kind: str, accept: float) -> DataFrame:
+    """(id, source, raw, pieces): the texts that hold a digit, cut at the delimiters of their source."""
+    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.col(text_col).cast("string").alias("raw")).filter(F.col("raw").rlike("[0-9]"))
+    scores = delimiter_scores(rows, "raw", "source", kind)
+    patterns = F.create_map(*[F.lit(x) for pair in CANDIDATES.items() for x in pair])
+    overall = scores.groupBy("delimiter").agg((F.sum(F.col("score") * F.col("n_rows")) / F.sum("n_rows")).alias("s")).agg(F.collect_set(F.when(F.col("s") >= accept, F.col("delimiter"))).alias("_all"))
+    own = scores.groupBy("source").agg(F.collect_set(F.when(F.col("score") >= accept, F.col("delimiter"))).alias("_own"), F.collect_set("delimiter").alias("_met"), F.sum("n_rows").alias("_weight"))
+    names = F.array_sort(F.array_union("_own", F.array_except("_all", "_met")))
+    pattern = F.coalesce(F.nullif(F.array_join(F.transform(names, lambda n: F.element_at(patterns, n)), "|"), F.lit("")), F.lit("(?!)"))
+    accepted = own.join(F.broadcast(overall)).select("source", "_weight", pattern.alias("_pattern"))  # overall is one row
+    several = rows.filter(F.col("raw").rlike(SEVERAL))
+    cut = skew_safe_join(several, accepted, "source", "_weight", how="left").select("id", "source", "raw", _split(_strip_notation(F.col("raw"), kind), F.coalesce("_pattern", F.lit("(?!)"))).alias("pieces"))
+    alone = rows.filter(~F.col("raw").rlike(SEVERAL)).select("id", "source", "raw", _split(_strip_notation(F.col("raw"), kind), F.lit(r"[,;/\n]")).alias("pieces"))
+    return cut.unionByName(alone)
+
+
 def split_packed(df: DataFrame, id_col: str, text_col: str, source_col: str, kind: str = "page", accept: float = 0.5) -> DataFrame:
-    """One row per value: (id, source, pos INT from 1 as written, val BIGINT, n_values INT).
+    """One row per value: (id, source, pos BIGINT from 1 as written, val BIGINT, n_values BIGINT).
 
     ``kind`` is "page" (a span stands for every page in it; numbers of tables and figures are no pages) or "year" (four
     digits; an apostrophe and two digits mean 20xx). A delimiter is accepted for a source when it scores at least
-    ``accept`` there, and elsewhere when it does over all sources. Null, blank and value-free texts give no row;
-    repeated values stay; a span longer than MAX_SPAN or running backwards gives its two ends; repeated input rows
-    each give their values; a null source is a source of its own; other columns of ``df`` are ignored.
+    ``accept`` there; a source in which it never stands takes over what all sources together say. Delimiters within double
+    quotes don't split. Every piece must be one value of its kind, else the text gives no value but stands in
+    ``rejected``. Null, blank and digit-free texts give no row; repeated values stay; a span running backwards gives its
+    two ends; repeated input rows each give their values; a null source is a source of its own; other columns of ``df``
+    are ignored.
     """
-    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.col(text_col).alias("_raw"))
-    scores = delimiter_scores(rows, "_raw", "source", kind)
-    patterns = F.create_map(*[F.lit(x) for pair in CANDIDATES.items() for x in pair])
-    overall = scores.groupBy("delimiter").agg((F.sum(F.col("score") * F.col("n_rows")) / F.sum("n_rows")).alias("s")).agg(F.collect_set(F.when(F.col("s") >= accept, F.col("delimiter"))).alias("_all"))
-    own = scores.groupBy("source").agg(F.collect_set(F.when(F.col("score") >= accept, F.col("delimiter"))).alias("_own"), F.sum("n_rows").alias("_weight"))
-    names = F.array_sort(F.array_union("_own", "_all"))
-    pattern = F.coalesce(F.nullif(F.array_join(F.transform(names, lambda n: F.element_at(patterns, n)), "|"), F.lit("")), F.lit("(?!)"))
-    accepted = own.join(F.broadcast(overall)).select("source", "_weight", pattern.alias("_pattern"))
-    text = _strip_notation(F.col("_raw"), kind)
-    one = F.regexp_extract(text, "([0-9]{1,18})", 1).try_cast("bigint")
-    single = rows.filter(F.col("_raw").rlike("[0-9]") & ~F.col("_raw").rlike(SEVERAL)).select("id", "source", one.alias("val"))
-    single = single.filter(F.col("val").isNotNull()).select("id", "source", F.lit(1).alias("pos"), "val", F.lit(1).alias("n_values"))
-    multi = rows.filter(F.col("_raw").rlike(SEVERAL)).select("id", "source", text.alias("_t"))
-    multi = skew_safe_join(multi, accepted, "source", "_weight", how="left")
-    marked = F.regexp_replace("_t", F.coalesce("_pattern", F.lit("(?!)")), F.lit("\u0001"))
-    pieces = F.filter(F.transform(F.split(marked, "\u0001"), lambda p: F.trim(F.regexp_replace(p, r"[\s\p{Z}]+", " "))), lambda p: p.rlike("[0-9]"))
-
-    def values(piece: Column) -> Column:
-        lo = F.try_to_number(F.regexp_extract(piece, SPAN, 1), F.lit("999999999")).cast("bigint")
-        hi = F.try_to_number(F.regexp_extract(piece, SPAN, 2), F.lit("999999999")).cast("bigint")
-        found = F.transform(F.regexp_extract_all(piece, F.lit("([0-9]{1,18})"), 1), lambda x: x.try_cast("bigint"))
-        whole = piece.rlike(SPAN) & (hi >= lo) & (hi - lo <= MAX_SPAN)
-        return F.when(whole, F.sequence(F.when(whole, lo).otherwise(0), F.when(whole, hi).otherwise(0))).otherwise(found) if kind == "page" else found
-
-    multi = multi.select("id", "source", F.flatten(F.transform(pieces, values)).alias("_v"))
-    multi = multi.select("id", "source", F.size("_v").alias("n_values"), F.posexplode("_v").alias("_i", "val")).filter(F.col("val").isNotNull())
-    return single.unionByName(multi.select("id", "source", (F.col("_i") + 1).alias("pos"), "val", "n_values"))
+    good = _pieces(df, id_col, text_col, source_col, kind, accept).filter((F.size("pieces") > 0) & F.forall("pieces", lambda p: _regular(p, kind)))
+
+    def ends(piece: Column) -> Column:
+        span = piece.rlike(SPAN)
+        lo = F.when(span, F.regexp_extract(piece, SPAN, 1)).otherwise(piece).try_cast("bigint")
+        hi = F.when(span, F.regexp_extract(piece, SPAN, 2)).otherwise(piece).try_cast("bigint")
+        one = lambda a, b: F.struct(a.alias("lo"), b.alias("hi"))
+        return F.when(hi >= lo, F.array(one(lo, hi))).otherwise(F.array(one(lo, lo), one(hi, hi)))
+
+    spans = good.select("id", "source", F.flatten(F.transform("pieces", ends)).alias("_s"))
+    zero = F.lit(0).cast("bigint")
+    sized = spans.withColumn("n_values", F.aggregate("_s", zero, lambda n, x: n + x["hi"] - x["lo"] + 1))
+    # Values before each span: its number where all are single values, else a running sum.
+    before = F.when(F.col("n_values") == F.size("_s"), F.sequence(zero, F.size("_s").cast("bigint"))).otherwise(F.aggregate("_s", F.array(zero), lambda seen, x: F.concat(seen, F.array(F.element_at(seen, -1) + x["hi"] - x["lo"] + 1))))
+    each = sized.select("id", "source", "n_values", F.explode(F.arrays_zip("_s", F.slice(before, 1, F.size("_s")).alias("_b"))).alias("_x")).select("id", "source", "n_values", "_x._s.lo", "_x._s.hi", "_x._b")
+    parts = each.withColumn("_c", F.explode(F.sequence(zero, F.floor((F.col("hi") - F.col("lo")) / SPAN_CHUNK)))).withColumn("_from", F.col("lo") + F.col("_c") * SPAN_CHUNK)
+    out = parts.withColumn("val", F.explode(F.sequence(F.col("_from"), F.least(F.col("hi"), F.col("_from") + SPAN_CHUNK - 1))))
+    return out.select("id", "source", (F.col("_b") + F.col("val") - F.col("lo") + 1).alias("pos"), "val", "n_values")
+
+
+def rejected(df: DataFrame, id_col: str, text_col: str, source_col: str, kind: str = "page", accept: float = 0.5) -> DataFrame:
+    """(id, source, raw, piece): texts with a digit that hold no value or a piece that is none, with the first such piece."""
+    bad = F.filter("pieces", lambda p: ~_regular(p, kind))
+    return _pieces(df, id_col, text_col, source_col, kind, accept).filter((F.size("pieces") == 0) | (F.size(bad) > 0)).select("id", "source", "raw", F.get(bad, 0).alias("piece"))
 
 
 def source_class(col: Column) -> Column:
