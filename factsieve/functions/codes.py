@@ -14,7 +14,7 @@ AXIS = {"배출유형": ["직접배출", "간접배출", "흡수원"], "직간
 ACHIEVEMENT = {"달성": "달성", "완료": "달성", "목표달성": "달성", "정상추진": "정상추진", "정상 추진": "정상추진", "추진중": "정상추진", "지연": "지연", "일부지연": "지연", "미달성": "미달성", "미이행": "미달성", "중단": "미달성"}
 PROJECT_TYPE = {"기존": "기존", "계속": "기존", "유지": "기존", "변경": "변경", "수정": "변경", "폐지": "변경", "신규": "신규", "추가": "신규", "새로운": "신규"}
 #: The first keyword found decides the forecast method.
-FORECAST_METHOD = [("시계열", "stat_time_series"), ("회귀분석", "stat_regression"), ("회귀", "stat_regression"), ("증가율", "stat_growth_rate"), ("LEAP", "bottom_up_accounting_LEAP"), ("MARKAL", "bottom_up_optimization_MARKAL")]
+FORECAST_METHOD = [("시계열", "stat_time_series"), ("시계열분석", "stat_time_series"), ("회귀분석", "stat_regression"), ("회귀", "stat_regression"), ("증가율", "stat_growth_rate"), ("증가율분석", "stat_growth_rate"), ("LEAP", "bottom_up_accounting_LEAP"), ("MARKAL", "bottom_up_optimization_MARKAL")]
 #: Names of one municipality.
 CITIES = [["서울", "서울시", "서울특별시"], ["경기", "경기도"], ["강원도", "강원특별자치도"], ["부산", "부산시", "부산광역시"], ["인천", "인천시", "인천광역시"]]
 
@@ -26,9 +26,11 @@ def mapped(table: dict[str, str], col: Column) -> Column:
 
 
 def sector(col: Column) -> Column:
-    """Sector code: a prefix code is stripped and texts of more than 40 characters are no sector."""
-    text = F.regexp_replace(F.trim(col), r"^[0-9A-Z]+[.)]\s*", "")
-    return F.when(F.length(text) <= 40, mapped(SECTOR, text))
+    """Sector code of a text as it stands or behind a prefix code such as "1A3 "; other texts stay, unless of more than 40 characters."""
+    text = F.trim(col)
+    table = F.create_map(*[F.lit(x) for pair in SECTOR.items() for x in pair])
+    bare = F.trim(F.regexp_replace(text, r"^[0-9A-Z]+[A-Za-z0-9]*\s+", ""))
+    return F.coalesce(F.element_at(table, text), F.element_at(table, bare), F.when(F.length(text) <= 40, text))
 
 
 def axis(field: str, col: Column) -> Column:

@@ -104,32 +104,38 @@ def key_blank_stats(df: DataFrame, fields: list[str]) -> DataFrame:
     return blanks.select(F.inline(rows)).withColumn("blank_rate", F.round(F.coalesce(F.try_divide("n_blank", "n_rows"), F.lit(0.0)), 6))
 
 
-def contract_dedup(df: DataFrame, keys: list[str], value: str, seq: str = "seq") -> DataFrame:
-    """Merge rows of one key and value where exactly one earlier row is compatible, and mark conflicts of one key.
-
-    Order-dependent by definition, hence a kernel on the bucket (key and value), sorted by canonical JSON. Rows are
-    compatible if all content fields filled on both sides are equal; the merge fills blanks. Adds _merged INT and
-    _conflict BOOLEAN (the key has several rows left). Exact repetitions collapse before the shuffle, so that a bucket
-    holds distinct rows only.
+def contract_dedup(df: DataFrame, keys: list[str], value: str, seq: str = "seq", ids: tuple[str, ...] = (), axis_original: str | None = None) -> DataFrame:
+    """Merge rows of one key, value and original axis where exactly one earlier row is compatible, and mark conflicts of one key.
+
+    Order-dependent by definition, hence a kernel on the bucket (key, value and ``axis_original``, an annotation in text),
+    sorted by canonical JSON. Rows are compatible if all content fields filled on both sides are equal but for case and
+    white space; the merge fills blanks and unites the ``ids`` (columns of evidence, given as sorted arrays in the result).
+    Adds _copies and _conflict: null, or same_entity_different_value or same_entity_different_field where a key has
+    several rows left. Exact repetitions collapse before the shuffle, so that a bucket holds distinct rows only.
     """
-    content = [c for c in df.columns if c not in PROVENANCE and not c.startswith("_") and c != seq]
-    distinct = df.groupBy(*content).agg(F.min(seq).alias(seq), F.count("*").alias("_copies"))
-    fold = [F.coalesce(folded(F.col(k).cast("string")), F.lit("")).alias(f"_k{i}") for i, k in enumerate([*keys, value])]
+    content = [c for c in df.columns if c not in PROVENANCE and not c.startswith("_") and c not in (seq, *ids)]
+    axes = [axis_original] if axis_original else []
+    distinct = df.groupBy(*content, *axes).agg(F.min(seq).alias(seq), F.count("*").alias("_copies"), *[F.array_sort(F.collect_set(c)).alias(c) for c in ids])
+    fold = [F.coalesce(folded(F.col(c).cast("string")), F.lit("")).alias(f"_k{i}") for i, c in enumerate([*keys, value, *axes])]
     bucketed = distinct.select("*", F.xxhash64(*fold).alias("_bucket"))
     schema = distinct.schema
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        records = rows.drop(columns=["_bucket"]).astype(object).where(rows.drop(columns=["_bucket"]).notna(), None).to_dict("records")
+        rows = rows.drop(columns=["_bucket"])
+        records = rows.astype(object).where(rows.notna(), None).to_dict("records")
         records.sort(key=lambda r: json.dumps({k: r[k] for k in content}, sort_keys=True, ensure_ascii=False, default=str))
+        plain = lambda x: "".join(str(x).lower().split())
         kept: list[dict] = []
-        blank = (None, "")
         for r in records:
-            fits = [o for o in kept if all(o[c] in blank or r[c] in blank or o[c] == r[c] for c in content)]
+            own = [(c, plain(r[c])) for c in content if r[c] not in (None, "")]
+            fits = [o for o in kept if all(o[c] in (None, "") or plain(o[c]) == x for c, x in own)]
             if len(fits) == 1:
                 o = fits[0]
                 for c in content:
-                    if o[c] in blank:
+                    if o[c] in (None, ""):
                         o[c] = r[c]
+                for c in ids:
+                    o[c] = sorted({*o[c], *r[c]})
                 o["_copies"] += r["_copies"]
                 o[seq] = min(o[seq], r[seq])
             else:
@@ -140,6 +146,8 @@ def contract_dedup(df: DataFrame, keys: list[str], value: str, seq: str = "seq")
     crowded = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n")).filter("_n > 1").select("_bucket")
     alone = bucketed.join(crowded, "_bucket", "left_anti").select(*schema.names)
     merged = alone.unionByName(bucketed.join(crowded, "_bucket", "left_semi").groupBy("_bucket").applyInPandas(merge, schema))
-    sizes = merged.groupBy(*[F.col(k).alias(f"_s_{k}") for k in keys]).agg(F.count("*").alias("_n"))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
-    return merged.join(sizes, same, "left").select(*schema.names, (F.col("_n") > 1).alias("_conflict"))
+    entity = [F.coalesce(folded(F.col(k).cast("string")), F.lit("")).alias(f"_s{i}") for i, k in enumerate(keys)]
+    sizes = merged.groupBy(F.xxhash64(*entity).alias("_entity")).agg(F.count("*").alias("_n"), F.count_distinct(F.coalesce(folded(F.col(value).cast("string")), F.lit(""))).alias("_values"))
+    out = merged.withColumn("_e", F.xxhash64(*entity)).join(sizes, F.col("_e") == F.col("_entity"))
+    reason = F.when((F.col("_n") > 1) & (F.col("_values") > 1), "same_entity_different_value").when(F.col("_n") > 1, "same_entity_different_field")
+    return out.select(*schema.names, reason.alias("_conflict"))

@@ -32,5 +32,5 @@ def page_support(rows: DataFrame, pages: DataFrame, key: str, row_id: str, numbe
     wanted = rows.select(F.col(row_id).alias("row_id"), key, F.explode("pages").alias("page"), F.col(number).alias("_x"))
     text = F.regexp_replace("text", r"(?<=[0-9]),(?=[0-9]{3})", "")
     plain = F.regexp_replace(F.col("_x").cast("decimal(24,4)").cast("string"), r"\.?0+$", "")
-    hit = text.rlike(F.concat(F.lit(r"(?<![0-9.])"), F.regexp_replace(plain, r"\.", r"\\."), F.lit(r"(?![0-9]|\.[0-9])")))
+    hit = F.rlike(text, F.concat(F.lit(r"(?<![0-9.])"), F.regexp_replace(plain, r"\.", r"\\."), F.lit(r"(?![0-9]|\.[0-9])")))
     return wanted.join(pages, [key, "page"], "left").groupBy("row_id").agg(F.bool_or(F.coalesce(hit, F.lit(False))).alias("supported"))

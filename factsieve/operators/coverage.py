@@ -31,20 +31,29 @@ def factor(col: Column) -> Column:
     return F.coalesce(F.element_at(table, unit_token(col)), F.lit(1)).cast("decimal(15,0)")
 
 
-def reconcile(facts: DataFrame, saved: DataFrame, key: list[str]) -> DataFrame:
-    """Facts with status conflict_review, unit_review, ambiguous_review, covered or absent, in this precedence.
-
-    Both sides have the key, value DECIMAL(20,6) and unit; facts have fact_id. An equality join on the key; amounts are
-    compared exactly after conversion, other dimensions never.
+def reconcile(facts: DataFrame, saved: DataFrame, key: list[str], pages: str | None = None) -> DataFrame:
+    """Facts with the first status that holds: conflict_review, unit_review, ambiguous_review, covered or absent.
+
+    Both sides have the key, value DECIMAL(20,6) and unit; facts have fact_id. Of the saved rows equal in the key, one with
+    another amount in the same dimension is a conflict whatever else agrees; one in another dimension asks for a unit
+    review; one without value or unit, or, where ``pages`` names an array column of both sides, without a common page, is
+    ambiguous. Amounts are compared exactly after conversion. Saved rows are counted by key, dimension and amount first,
+    so repeated ones multiply nothing; null keys match nothing.
     """
-    side = lambda df, p: df.withColumns({f"{p}base": F.col("value") * factor(F.col("unit")), f"{p}dim": dimension(F.col("unit"))})
-    f = side(facts, "f_")
-    s = side(saved, "s_").select(*[F.col(k).alias(f"s_{k}") for k in key], "s_base", "s_dim").withColumn("s_here", F.lit(True))
-    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"s_{k}") for k in key])
-    joined = f.join(s, on, "left")
-    same_dim = F.col("f_dim") == F.col("s_dim")
-    counts = joined.groupBy("fact_id").agg(F.count_if(F.col("s_here") & same_dim & (F.col("f_base") == F.col("s_base"))).alias("good"), F.count_if(F.col("s_here") & same_dim & (F.col("f_base") != F.col("s_base"))).alias("conflict"), F.count_if(F.col("s_here") & ~same_dim).alias("unit"))
-    status = F.when((F.col("conflict") > 0) & (F.col("good") == 0), "conflict_review").when((F.col("unit") > 0) & (F.col("good") == 0), "unit_review").when((F.col("good") > 0) & (F.col("conflict") > 0), "ambiguous_review").when(F.col("good") > 0, "covered").otherwise("absent")
+    blank = F.coalesce(F.trim("unit") == "", F.lit(True))
+    side = lambda df, dim: df.withColumns({"_base": F.col("value") * factor(F.col("unit")), "_dim": F.when(~blank, dimension(F.col("unit"))).otherwise(F.lit(dim))})
+    at = [pages] if pages else []
+    f = side(facts, "literal:").select("fact_id", *[F.col(k).alias(f"_f_{k}") for k in key], F.col("_base").alias("f_base"), F.col("_dim").alias("f_dim"), *[F.col(c).alias("f_pages") for c in at])
+    kept = [F.col(k).alias(f"_s_{k}") for k in key]
+    s = side(saved, None).groupBy(*kept, F.col("_base").alias("s_base"), F.col("_dim").alias("s_dim"), *[F.array_sort(F.array_distinct(c)).alias("s_pages") for c in at]).agg(F.count("*").alias("n"))
+    joined = f.join(s, reduce(lambda a, b: a & b, [F.col(f"_f_{k}") == F.col(f"_s_{k}") for k in key]), "left")
+    n = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    there, whole = F.col("n").isNotNull(), F.col("s_base").isNotNull() & F.col("s_dim").isNotNull()
+    same = there & whole & (F.col("f_dim") == F.col("s_dim"))
+    near = F.coalesce(F.arrays_overlap("f_pages", "s_pages"), F.lit(False)) if pages else F.lit(True)
+    equal = F.coalesce(F.col("f_base") == F.col("s_base"), F.lit(False))
+    counts = joined.groupBy("fact_id").agg(n(same & near & equal).alias("good"), n(same & near & ~equal).alias("conflict"), n(there & whole & (F.col("f_dim") != F.col("s_dim"))).alias("unit"), n(there & (~whole | (same & ~near))).alias("unclear"))
+    status = F.when(F.col("conflict") > 0, "conflict_review").when(F.col("unit") > 0, "unit_review").when(F.col("unclear") > 0, "ambiguous_review").when(F.col("good") > 0, "covered").otherwise("absent")
     return counts.select("fact_id", status.alias("status"))
 
 
@@ -96,11 +105,11 @@ def period_years(col: Column) -> Column:
     return F.when((full(lo) <= full(hi)) & (full(hi) - full(lo) < 100), F.sequence(full(lo), full(hi)))
 
 
-def spatial_unit(tables: DataFrame, notes: DataFrame, page: str) -> DataFrame:
-    """(object_id, unit): unit notes just above a table (-6 to 48 points) that overlap it across; only where all agree."""
-    n = notes.select(F.col(page).alias("_p"), F.col("box").alias("_b"), "unit")
-    near = tables.join(n, (F.col(page) == F.col("_p")) & (F.col("box.y0") - F.col("_b.y1")).between(-6, 48) & (F.least("box.x1", "_b.x1") > F.greatest("box.x0", "_b.x0")))
-    return near.groupBy("object_id").agg(F.min("unit").alias("unit"), F.max("unit").alias("_m")).filter("unit = _m").drop("_m")
+def spatial_unit(tables: DataFrame, notes: DataFrame, doc: str, page: str) -> DataFrame:
+    """(object_id, unit): unit notes of the same document and page just above a table (-6 to 48 points) that overlap it across; only where all agree."""
+    n = notes.select(F.col(doc).alias("_d"), F.col(page).alias("_p"), F.col("box").alias("_b"), "unit")
+    near = tables.join(n, (F.col(doc) == F.col("_d")) & (F.col(page) == F.col("_p")) & (F.col("box.y0") - F.col("_b.y1")).between(-6, 48) & (F.least("box.x1", "_b.x1") > F.greatest("box.x0", "_b.x0")))
+    return near.groupBy(doc, "object_id").agg(F.min("unit").alias("unit"), F.max("unit").alias("_m")).filter("unit = _m").select("object_id", "unit")
 
 
 def funding_components(rows: DataFrame, key: list[str], order: str, name: str) -> DataFrame:

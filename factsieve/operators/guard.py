@@ -30,8 +30,9 @@ def target_reasons(sector: str = "부문", quantities: tuple[str, ...] = ("목
     return {"no_target_quantity": none, "visual_metric_label_as_sector": F.col(sector).rlike("배출량|감축량|비율|증감|%")}
 
 
-def duplicated_elsewhere(rows: DataFrame, other: DataFrame, equal: list[tuple[str, str]], numbers: tuple[str, str], row_id: str, residual: Column | None = None) -> DataFrame:
-    """Ids of ``rows`` that have a counterpart in ``other``: equal in the column pairs and in a number to half a percent.
+def duplicated_elsewhere(rows: DataFrame, other: DataFrame, equal: list[tuple[str, str]], numbers: tuple[str, str], row_id: str, residual: Column | None = None, others: tuple[str, ...] = ()) -> DataFrame:
+    """Ids of ``rows`` that have a counterpart in ``other``: equal in the column pairs and in a number to half a percent,
+    and as ``residual`` says, in which the columns ``others`` of the other side are written _r_NAME.
 
     A semi join. The number joins by equality on logarithmic buckets one percent wide and their neighbours, so equal
     keys don't bring all their rows together; the exact comparison follows. Numbers of any sign and zero take part.
@@ -43,7 +44,7 @@ def duplicated_elsewhere(rows: DataFrame, other: DataFrame, equal: list[tuple[st
 
     x, y = numbers
     a = rows.filter(F.col(x).isNotNull()).withColumn("_b", F.explode(F.array(*[bucket(F.col(x)) + i for i in (-1, 0, 1)])))
-    b = other.filter(F.col(y).isNotNull()).select(*[F.col(o).alias(f"_o_{o}") for _, o in equal], F.col(y).cast("double").alias("_o_number"), bucket(F.col(y)).alias("_b2"), *[F.col(c).alias(f"_r_{c}") for c in (residual_columns(residual) if residual is not None else [])])
+    b = other.filter(F.col(y).isNotNull()).select(*[F.col(o).alias(f"_o_{o}") for _, o in equal], F.col(y).cast("double").alias("_o_number"), bucket(F.col(y)).alias("_b2"), *[F.col(c).alias(f"_r_{c}") for c in others])
     on = (F.col("_b") == F.col("_b2")) & same_number(F.col(x), F.col("_o_number"))
     for l, o in equal:  # noqa: E741
         on = on & (F.col(l) == F.col(f"_o_{o}"))
@@ -52,13 +53,6 @@ def duplicated_elsewhere(rows: DataFrame, other: DataFrame, equal: list[tuple[st
     return a.join(b, on, "left_semi").select(row_id).distinct()
 
 
-def residual_columns(residual: Column) -> list[str]:
-    """Names of the other side's columns (written _r_NAME) that a residual condition uses."""
-    import re
-
-    return sorted(set(re.findall(r"_r_([\w가-힣()%]+)", str(residual))))
-
-
 def containment_quarantine(df: DataFrame, group: list[str], text: str, quantity: str | None, row_id: str, least: int = 8) -> DataFrame:
     """(row_id, kept_id): rows whose folded text (of ``least`` characters or more) stands in a longer one of their group; of
     equal texts the later goes. Where either has a quantity, they must agree to half a percent.
@@ -117,7 +111,39 @@ def first_failing(checks: list[tuple[str, Column]]) -> Column:
     return out
 
 
-def response_reason(fields: dict[str, str]) -> Column:
-    """Reason a recorded response isn't accepted: blank, no number, no unit, quote missing, quote without the number, wrong page, unfinished."""
-    c = {k: F.col(v) for k, v in fields.items()}
-    return first_failing([("blank", ~is_blank(c["name"])), ("no_number", c["value"].isNotNull()), ("no_unit", ~is_blank(c["unit"])), ("no_quote", ~is_blank(c["quote"])), ("quote_without_number", F.contains(F.regexp_replace(c["quote"], ",", ""), F.regexp_replace(c["value"].cast("string"), r"\.0+$", ""))), ("wrong_page", c["page"] == c["asked_page"]), ("unfinished", c["status"] == "ok")])
+def validate_responses(targets: DataFrame, responses: DataFrame) -> DataFrame:
+    """(candidate_id, status, reason) of every target: "validated_reading", or "held" for the first reason that applies.
+
+    ``targets`` has candidate_id, name, year, funding, page, object_id, evidence_ids, value DECIMAL and unit; ``responses``
+    candidate_id, status, name, year, funding, page, object_id, evidence_id, amount, unit and quote. A target has no
+    response, or several that differ, or its one response is checked in order; the quote must hold the amount as a number
+    of its own. Texts compare without case and white space; equal responses count once.
+    """
+    from factsieve.functions.numbers import strict_decimal
+    from factsieve.operators.coverage import dimension, factor
+
+    fields = [c for c in responses.columns if c != "candidate_id"]
+    given = responses.groupBy("candidate_id").agg(F.count_distinct(F.to_json(F.struct(*fields))).alias("_n"), F.first(F.struct(*fields)).alias("r"))
+    both = targets.join(given, "candidate_id", "left")
+    label = lambda c: F.coalesce(F.regexp_replace(F.lower(c), r"[\s\p{Z}]+", ""), F.lit(""))
+    total = lambda c: F.when(label(c).isin("계", "총계"), "합계").otherwise(label(c))
+    amount = strict_decimal(F.col("r.amount"))
+    digits = F.regexp_replace(F.regexp_replace(amount.cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    quoted = F.rlike(F.regexp_replace("r.quote", ",", ""), F.concat(F.lit(r"(?<![0-9.])"), F.regexp_replace(digits, r"([.+-])", r"\\$1"), F.lit(r"(?![0-9.])")))
+    checks = [
+        ("not_returned", F.col("_n").isNotNull()),
+        ("conflicting_duplicate_response", F.col("_n") == 1),
+        ("model_status", F.col("r.status") == "read"),
+        ("business_mismatch", label(F.col("r.name")) == label(F.col("name"))),
+        ("year_mismatch", F.col("r.year") == F.col("year")),
+        ("funding_mismatch", total(F.col("r.funding")) == total(F.col("funding"))),
+        ("page_mismatch", F.col("r.page") == F.col("page")),
+        ("evidence_mismatch", (F.col("r.object_id") == F.col("object_id")) & F.array_contains("evidence_ids", F.col("r.evidence_id"))),
+        ("invalid_amount", amount.isNotNull()),
+        ("unit_or_scale_mismatch", ~is_blank(F.col("r.unit")) & (dimension(F.col("r.unit")) == dimension(F.col("unit"))) & (factor(F.col("r.unit")) == factor(F.col("unit")))),
+        ("source_value_conflict", amount == F.col("value")),
+        ("amount_quote_missing", quoted),
+    ]
+    failing = first_failing(checks)
+    reason = F.when(failing == "model_status", F.concat(F.lit("model_"), F.coalesce("r.status", F.lit("unknown")))).otherwise(F.coalesce(failing, F.lit("source_fact_and_review_agree")))
+    return both.select("candidate_id", F.when(failing.isNull(), "validated_reading").otherwise("held").alias("status"), reason.alias("reason"))

@@ -14,10 +14,10 @@ def batch_id(*cols: Column) -> Column:
     return F.substring(F.sha2(F.to_json(F.struct(*cols)), 256), 1, 24)
 
 
-def fold(records: list[dict]) -> dict:
+def fold(records: list[dict], state: dict | None = None) -> dict:
     """State of a batch after its records in order: ok replaces anything; a failure after a failure that has payload
-    adds its payload and is partial and recovered; any other failure replaces what was."""
-    state: dict = {}
+    adds its payload and is partial and recovered; any other failure replaces what was. ``state`` is what went before."""
+    state = dict(state or {})
     for r in records:
         payload = list(r["payload"]) if r["payload"] is not None else []
         if r["status"] == "ok" or not state or state["status"] not in FAILED or not state["payload"]:

@@ -55,18 +55,26 @@ def conflict_id(*cols: Column) -> Column:
     return F.concat(F.lit("cf-"), F.substring(F.sha2(F.to_json(F.struct(*cols)), 256), 1, 24))
 
 
-def resolve_blank_scope(df: DataFrame, keys: list[str], scope: str, seq: str) -> DataFrame:
-    """Each row with _scope_status: known, absorbed (into the one known scope of its key), ambiguous or alone; _target the scope.
-
-    A blank-scope row is absorbed only where the key has exactly one distinct known scope.
+def resolve_blank_scope(df: DataFrame, keys: list[str], value: str, scope: str, others: list[str], seq: str) -> DataFrame:
+    """Each row with _scope_status and _target, the scope it has or is absorbed into.
+
+    A row without scope may be absorbed by a row with one that is equal in the keys and the value and compatible in the
+    ``others`` (equal wherever both are filled); exactly one must be so ("absorbed"). With several scopes among them it is
+    "ambiguous_blank_scope", with several rows of one scope "several", with only incompatible ones
+    "scope_candidate_payload_conflict", without any "alone"; a row with a scope is "known". Texts compare without case and
+    white space; rows with a scope are counted by what is compared first, so copies multiply nothing.
     """
-    blank = F.coalesce(F.trim(F.col(scope)) == "", F.lit(True))
-    known = df.filter(~blank).groupBy(*keys).agg(F.count_distinct(scope).alias("_scopes"), F.min(scope).alias("_only"))
-    renamed = known.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_scopes", "_only")
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    out = df.join(renamed, on, "left").drop(*[f"_k_{k}" for k in keys])
-    status = F.when(~blank, "known").when(F.col("_scopes") == 1, "absorbed").when(F.col("_scopes") > 1, "ambiguous").otherwise("alone")
-    return out.withColumns({"_scope_status": status, "_target": F.when(~blank, F.col(scope)).when(F.col("_scopes") == 1, F.col("_only"))}).drop("_scopes", "_only")
+    fold = lambda c: F.coalesce(F.regexp_replace(F.lower(F.col(c).cast("string")), r"[\s\p{Z}]+", ""), F.lit(""))
+    blank = F.coalesce(F.trim(scope) == "", F.lit(True))
+    bucket = F.xxhash64(*[fold(c) for c in [*keys, value]])
+    known = df.filter(~blank).groupBy(bucket.alias("_kb"), F.col(scope).alias("_ks"), *[fold(c).alias(f"_k{i}") for i, c in enumerate(others)]).agg(F.count("*").alias("_kn"))
+    open_ = df.filter(blank).select(F.col(seq).alias("_seq"), bucket.alias("_ob"), *[fold(c).alias(f"_o{i}") for i, c in enumerate(others)])
+    fits = reduce(lambda a, b: a & b, [(F.col(f"_k{i}") == "") | (F.col(f"_o{i}") == "") | (F.col(f"_k{i}") == F.col(f"_o{i}")) for i in range(len(others))], F.lit(True))
+    pairs = open_.join(known, F.col("_ob") == F.col("_kb")).withColumn("_fits", fits)
+    found = pairs.groupBy("_seq").agg(F.coalesce(F.sum(F.when(F.col("_fits"), F.col("_kn"))), F.lit(0)).alias("_rows"), F.count_distinct(F.when(F.col("_fits"), F.col("_ks"))).alias("_scopes"), F.min(F.when(F.col("_fits"), F.col("_ks"))).alias("_only"))
+    out = df.join(found, F.col(seq) == F.col("_seq"), "left")
+    status = F.when(~blank, "known").when(F.col("_rows").isNull(), "alone").when(F.col("_scopes") > 1, "ambiguous_blank_scope").when(F.col("_rows") == 0, "scope_candidate_payload_conflict").when(F.col("_rows") == 1, "absorbed").otherwise("several")
+    return out.withColumns({"_scope_status": status, "_target": F.when(~blank, F.col(scope)).when(F.col("_rows") == 1, F.col("_only"))}).drop("_seq", "_rows", "_scopes", "_only")
 
 
 def append_only(baseline: DataFrame, incoming: DataFrame, entity: list[str]) -> DataFrame:

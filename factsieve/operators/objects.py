@@ -73,15 +73,15 @@ def consolidate(objects: DataFrame, doc: str, page: str) -> DataFrame:
     return objects.groupBy(doc, page).applyInPandas(merge, schema)
 
 
-def evidence_match(rows: DataFrame, objects: DataFrame, row_id: str) -> DataFrame:
-    """(row_id, object_id, status): rows to objects by exact evidence id, else object id, else number and page.
+def evidence_match(rows: DataFrame, objects: DataFrame, row_id: str, doc: str = "doc_id") -> DataFrame:
+    """(row_id, object_id, status): rows to objects of their document by exact evidence id, else object id, else number and page.
 
     Stages are joins on exploded ids; the best stage with one object stands, several objects are ambiguous.
     """
-    o = objects.select("object_id", "evidence_id", "number", F.col("page_number").alias("page"))
-    by_evidence = rows.select(F.col(row_id).alias("row_id"), F.explode("evidence_ids").alias("evidence_id")).join(o, "evidence_id").select("row_id", "object_id", F.lit(1).alias("stage"))
-    by_object = rows.select(F.col(row_id).alias("row_id"), F.explode("object_ids").alias("object_id")).join(o.select("object_id"), "object_id").select("row_id", "object_id", F.lit(2).alias("stage"))
-    by_number = rows.select(F.col(row_id).alias("row_id"), "number", F.explode("pages").alias("page")).join(o, ["number", "page"]).select("row_id", "object_id", F.lit(3).alias("stage"))
+    o = objects.select(doc, "object_id", "evidence_id", "number", F.col("page_number").alias("page"))
+    by_evidence = rows.select(F.col(row_id).alias("row_id"), doc, F.explode("evidence_ids").alias("evidence_id")).join(o, [doc, "evidence_id"]).select("row_id", "object_id", F.lit(1).alias("stage"))
+    by_object = rows.select(F.col(row_id).alias("row_id"), doc, F.explode("object_ids").alias("object_id")).join(o.select(doc, "object_id"), [doc, "object_id"]).select("row_id", "object_id", F.lit(2).alias("stage"))
+    by_number = rows.select(F.col(row_id).alias("row_id"), doc, "number", F.explode("pages").alias("page")).join(o, [doc, "number", "page"]).select("row_id", "object_id", F.lit(3).alias("stage"))
     found = by_evidence.unionByName(by_object).unionByName(by_number)
     first = found.groupBy("row_id").agg(F.min("stage").alias("stage"))
     best = found.join(first, ["row_id", "stage"]).groupBy("row_id", "stage").agg(F.count_distinct("object_id").alias("n"), F.min("object_id").alias("object_id"))
@@ -89,13 +89,31 @@ def evidence_match(rows: DataFrame, objects: DataFrame, row_id: str) -> DataFram
     return rows.select(F.col(row_id).alias("row_id")).join(best, "row_id", "left").select("row_id", F.when(F.col("n") == 1, F.col("object_id")).alias("object_id"), status.alias("status"))
 
 
-def native_confidence(rows: Column, object_type: Column) -> Column:
-    """Confidence of natively read content: one, less a share for empty cells, ragged rows and single columns."""
+#: Words of decorative or referring objects.
+NEGATIVE_SIGNALS = ["목차", "행사", "공모전", "모집", "사진", "로고", "위원회 사진", "참고 사례"]
+#: Rows and columns from which a table counts as complex.
+COMPLEX_ROWS, COMPLEX_COLUMNS = 45, 12
+
+
+def native_confidence(object_type: Column, text: Column, rows: Column, missing: Column, strategy: Column) -> Column:
+    """Confidence DOUBLE that natively read content suffices, by type.
+
+    Text by its length; a table by what is filled, how even its rows are, its cells and its size; charts and figures
+    hardly. ``rows`` is ARRAY<ARRAY<STRING>>; null counts as empty, a null ``missing`` or ``strategy`` as not set.
+    """
+    rows = F.coalesce(rows, F.array().cast("array<array<string>>"))
+    widths = F.transform(rows, lambda r: F.size(r))
+    n, width = F.size(rows), F.coalesce(F.array_max(widths), F.lit(0))
     cells = F.flatten(rows)
-    empty = F.try_divide(F.size(F.filter(cells, lambda c: F.coalesce(F.trim(c), F.lit("")) == "")), F.size(cells))
-    widths = F.array_distinct(F.transform(rows, lambda r: F.size(r)))
-    score = F.lit(1.0) - F.coalesce(empty, F.lit(1.0)) * 0.5 - F.when(F.size(widths) > 1, 0.2).otherwise(0.0) - F.when(F.array_max(F.transform(rows, lambda r: F.size(r))) < 2, 0.2).otherwise(0.0)
-    return F.when(object_type == "table", F.round(F.greatest(score, F.lit(0.0)), 4)).otherwise(F.lit(0.9))
+    filled = F.size(F.filter(cells, lambda c: F.coalesce(F.trim(F.regexp_replace(c, r"[\s\p{Z}]+", " ")) != "", F.lit(False))))
+    fill = F.coalesce(F.try_divide(filled, F.size(cells)), F.lit(0.0))
+    ragged = F.coalesce(F.try_divide(F.size(F.filter(widths, lambda w: w != width)), n), F.lit(1.0))
+    less = lambda condition, by: F.when(condition, F.lit(by)).otherwise(F.lit(0.0))
+    table = F.lit(0.96) - less(fill < 0.7, 0.3) - less(ragged > 0.25, 0.25) - less(filled < 4, 0.35) - less((n >= COMPLEX_ROWS) | (width >= COMPLEX_COLUMNS), 0.18) - less(F.coalesce(strategy == "text", F.lit(False)), 0.08)
+    absent = F.coalesce(missing, F.lit(False)) | (n < 2) | (width < 2)
+    length = F.length(F.trim(F.coalesce(text, F.lit(""))))
+    score = F.when(object_type == "text", F.when(length >= 80, 0.98).when(length >= 20, 0.78).otherwise(0.25)).when(object_type == "table", F.when(absent, 0.15).otherwise(F.greatest(table, F.lit(0.0)))).when(object_type == "chart", 0.2).when(object_type.isin("figure", "image"), 0.3).otherwise(0.5)
+    return F.round(score, 4)
 
 
 def data_signals(text: Column) -> Column:
@@ -103,12 +121,17 @@ def data_signals(text: Column) -> Column:
     return F.array_compact(F.array(F.when(text.rlike("(19|20)[0-9]{2}"), F.lit("year")), F.when(text.rlike(r"(?i)(tco2|co2eq|kwh|mwh|백만원|억원|천톤)"), F.lit("unit")), F.when(text.rlike(r"[0-9]{1,3}(,[0-9]{3})+"), F.lit("amount")), F.when(text.rlike("(배출량|감축량|예산|목표|실적)"), F.lit("term"))))
 
 
-def triage(objects: DataFrame) -> DataFrame:
-    """``objects`` (object_type, confidence, signals) with action and reason: keep, read again, or skip."""
-    low, data = F.col("confidence") < NATIVE_CONFIDENCE, F.size("signals") >= 2
-    action = F.when(F.col("object_type") == "caption", "skip").when(low & data, "ocr_required").when(low, "review").otherwise("native")
-    reason = F.when(F.col("object_type") == "caption", "caption_only").when(low & data, "low_confidence_with_data").when(low, "low_confidence").otherwise("readable")
-    return objects.withColumns({"action": action, "reason": reason})
+def triage(objects: DataFrame, threshold: float = NATIVE_CONFIDENCE) -> DataFrame:
+    """``objects`` with action and final_status.
+
+    They have object_type, confidence, signals (names of strong data signals), negative (names of NEGATIVE_SIGNALS found),
+    render_proxy and index_caption BOOLEAN (a caption placeholder on an index page). The first rule that fits decides.
+    """
+    proxy, listed = F.coalesce("render_proxy", F.lit(False)), F.coalesce("index_caption", F.lit(False))
+    kind = F.col("object_type")
+    action = F.when(proxy, "transport_only").when(listed, "skip_index_caption").when(kind == "text", "native_keep").when(kind == "table", F.when(F.col("confidence") < threshold, "ocr_required").otherwise("native_keep")).when(kind == "chart", "ocr_required").when(kind.isin("figure", "image"), F.when(F.size("signals") > 0, "ocr_required").otherwise("skip_non_data")).when(F.size("negative") > 0, "skip_non_data").otherwise("native_keep")
+    status = F.when(F.col("action") == "native_keep", "extracted").when(F.col("action") == "ocr_required", "needs_review").otherwise("not_relevant")
+    return objects.withColumn("action", action).withColumn("final_status", status)
 
 
 def fill_from_reading(native: DataFrame, reading: DataFrame, key: list[str]) -> DataFrame:

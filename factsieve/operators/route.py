@@ -47,11 +47,15 @@ def batches(df: DataFrame, group: list[str], order: str, size: int) -> DataFrame
 
 
 def index_page_kind(text: Column) -> Column:
-    """"contents" for at least 8 lines that end in a page number behind leaders or spaces, "captions" for at least 4 caption lines of that kind, else null."""
-    lines = F.split(text, "\n")
-    entry = F.size(F.filter(lines, lambda l: l.rlike(r"(\.{2,}|·{2,}|\s{2,})\s*[0-9]+\s*$")))  # noqa: E741
-    caption = F.size(F.filter(lines, lambda l: l.rlike(r"^\s*[<\[]?(표|그림)\s*[0-9].*[0-9]+\s*$")))  # noqa: E741
-    return F.when(entry >= 8, "contents").when(caption >= 4, "captions")
+    """"table_index", "figure_index" or "contents" by a title among the first three filled lines, "contents" also for eight
+    lines that begin like a caption of which four end in a page number behind leaders; else null."""
+    lines = F.filter(F.transform(F.split(text, r"\r\n|[\n\r]"), lambda l: F.trim(F.regexp_replace(l, r"[\s\p{Z}]+", " "))), lambda l: l != "")  # noqa: E741
+    titles = [("table_index", r"(?i)^(표\s*(목\s*차|차\s*례)|tables?)$"), ("figure_index", r"(?i)^((그림|도|사진)\s*(목\s*차|차\s*례)|figures?)$"), ("contents", r"(?i)^(목\s*차|차\s*례|contents?)$")]
+    kind = lambda l: F.coalesce(*[F.when(l.rlike(p), F.lit(name)) for name, p in titles])  # noqa: E731, E741
+    title = F.get(F.array_compact(F.transform(F.slice(lines, 1, 3), kind)), 0)
+    listed = F.filter(lines, lambda l: l.rlike(r"(?i)^[<\[(]?\s*(표|그림|figure)\s*[0-9]"))  # noqa: E741
+    leaders = F.size(F.filter(listed, lambda l: l.rlike(r"(\.{3,}|·{4,}|…{2,})\s*[0-9]+\s*$")))  # noqa: E741
+    return F.coalesce(title, F.when((F.size(listed) >= 8) & (leaders >= 4), "contents"))
 
 
 def semantic_targets(channels: DataFrame, terms: DataFrame, key: list[str], least: float = SEMANTIC_SCORE, margin: float = SEMANTIC_MARGIN) -> DataFrame:
@@ -71,7 +75,8 @@ def unanimous(df: DataFrame, key: list[str], value: str) -> DataFrame:
     return df.groupBy(*key).agg(F.min(value).alias(value), F.max(value).alias("_max")).filter(F.col(value) == F.col("_max")).drop("_max")
 
 
-def route_pages(pages: DataFrame, routes: DataFrame, doc: str, page: str, text: str, k: int = 1_000_000) -> DataFrame:
-    """Anchors and context of every sheet: (sheet, doc, page)."""
+def route_pages(pages: DataFrame, routes: DataFrame, doc: str, page: str, text: str, k: int | None = None) -> DataFrame:
+    """Anchors, of each sheet and document the ``k`` best or all, and context: (sheet, doc, page)."""
     scored = page_scores(pages, routes, text).select("sheet", doc, page, "score")
-    return with_context(top_anchors(materialize(scored.filter(F.col("score") >= MIN_SCORE), "anchors"), doc, page, k), pages, doc, page)
+    anchors = materialize(scored.filter(F.col("score") >= MIN_SCORE), "anchors")
+    return with_context(top_anchors(anchors, doc, page, k) if k else anchors, pages, doc, page)

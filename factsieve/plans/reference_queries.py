@@ -43,24 +43,28 @@ BLANK_SQL = r"coalesce(trim(regexp_replace({}::varchar, '[\s\pZ]+', ' ', 'g')) =
 
 
 def _plan_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Financing facts as delivered in JSON text."""
+    """Financing facts as delivered in JSON text, and each stored row as a fact of its own, so that every status occurs."""
     raw = table(spark, sf_dir, "raw_extracts").filter("sheet_key = 'financial_plan'")
     p = F.from_json("payload", "`사업명` string, `연도` string, `예산액` string, `예산단위` string, `재원구분` string, `부문` string")
-    return raw.select(F.col("raw_id").alias("fact_id"), "doc_id", p.alias("p")).select("fact_id", "doc_id", alnum_fold(F.col("p.사업명")).alias("name"), whole(F.col("p.연도")).alias("year"), strict_decimal(F.col("p.예산액")).alias("value"), F.col("p.예산단위").alias("unit"))
+    facts = raw.select(F.concat(F.lit("r"), "raw_id").alias("fact_id"), "doc_id", p.alias("p")).select("fact_id", "doc_id", alnum_fold(F.col("p.사업명")).alias("name"), whole(F.col("p.연도")).alias("year"), strict_decimal(F.col("p.예산액")).alias("value"), F.col("p.예산단위").alias("unit"))
+    return facts.unionByName(_saved_budgets(spark, sf_dir).select(F.concat(F.lit("p"), "row_id").alias("fact_id"), "doc_id", "name", "year", "value", "unit"))
 
 
-_FACTS_SQL = f"""facts AS (SELECT raw_id AS fact_id, doc_id, {FOLD_SQL.format("payload ->> '$.사업명'")} AS name, try_cast(replace(payload ->> '$.연도', ',', '') AS int) AS year, try_cast(replace(payload ->> '$.예산액', ',', '') AS decimal(20,6)) AS value, payload ->> '$.예산단위' AS unit FROM raw_extracts WHERE sheet_key = 'financial_plan'),
-f AS (SELECT facts.*, coalesce(u.dim, 'literal:' || {UNIT_SQL.format("unit")}) AS dim, value * coalesce(u.factor, 1) AS base FROM facts LEFT JOIN {UNITS_SQL.format("u")} ON u.token = {UNIT_SQL.format("unit")}),
-saved AS (SELECT doc_id, {FOLD_SQL.format('"사업명"')} AS name, "연도" AS year, "예산액"::decimal(20,6) AS value, "예산단위" AS unit FROM financial_plan WHERE "예산액" IS NOT NULL),
-s AS (SELECT saved.*, coalesce(u.dim, 'literal:' || {UNIT_SQL.format("unit")}) AS dim, value * coalesce(u.factor, 1) AS base FROM saved LEFT JOIN {UNITS_SQL.format("u")} ON u.token = {UNIT_SQL.format("unit")}),
-counts AS (SELECT fact_id, count(*) FILTER (s.name IS NOT NULL AND f.dim = s.dim AND f.base = s.base) AS good, count(*) FILTER (s.name IS NOT NULL AND f.dim = s.dim AND f.base <> s.base) AS conflict, count(*) FILTER (s.name IS NOT NULL AND f.dim <> s.dim) AS unit FROM f LEFT JOIN s USING (doc_id, name, year) GROUP BY fact_id)
-SELECT fact_id, CASE WHEN conflict > 0 AND good = 0 THEN 'conflict_review' WHEN unit > 0 AND good = 0 THEN 'unit_review' WHEN good > 0 AND conflict > 0 THEN 'ambiguous_review' WHEN good > 0 THEN 'covered' ELSE 'absent' END AS status FROM counts"""
+def _saved_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "financial_plan").filter(F.col("예산액").isNotNull()).select("row_id", "doc_id", alnum_fold(F.col("사업명")).alias("name"), F.col("연도").alias("year"), F.col("예산액").cast("decimal(20,6)").alias("value"), F.col("예산단위").alias("unit"))
+
+
+_FACTS_SQL = f"""saved AS (SELECT row_id, doc_id, {FOLD_SQL.format('"사업명"')} AS name, "연도" AS year, "예산액"::decimal(20,6) AS value, "예산단위" AS unit FROM financial_plan WHERE "예산액" IS NOT NULL),
+facts AS (SELECT 'r' || raw_id AS fact_id, doc_id, {FOLD_SQL.format("payload ->> '$.사업명'")} AS name, try_cast(replace(payload ->> '$.연도', ',', '') AS int) AS year, try_cast(replace(payload ->> '$.예산액', ',', '') AS decimal(20,6)) AS value, payload ->> '$.예산단위' AS unit FROM raw_extracts WHERE sheet_key = 'financial_plan' UNION ALL SELECT 'p' || row_id, doc_id, name, year, value, unit FROM saved),
+f AS (SELECT facts.*, coalesce(u.dim, 'literal:' || coalesce({UNIT_SQL.format("unit")}, '')) AS dim, value * coalesce(u.factor, 1) AS base FROM facts LEFT JOIN {UNITS_SQL.format("u")} ON u.token = {UNIT_SQL.format("unit")}),
+s AS (SELECT saved.*, CASE WHEN trim(coalesce(unit, '')) <> '' THEN coalesce(u.dim, 'literal:' || {UNIT_SQL.format("unit")}) END AS dim, value * coalesce(u.factor, 1) AS base FROM saved LEFT JOIN {UNITS_SQL.format("u")} ON u.token = {UNIT_SQL.format("unit")}),
+counts AS (SELECT fact_id, count(*) FILTER (s.name IS NOT NULL AND f.dim = s.dim AND f.base = s.base) AS good, count(*) FILTER (s.name IS NOT NULL AND f.dim = s.dim AND f.base IS DISTINCT FROM s.base) AS conflict, count(*) FILTER (s.name IS NOT NULL AND s.dim IS NULL) AS unclear, count(*) FILTER (s.name IS NOT NULL AND f.dim <> s.dim) AS unit FROM f LEFT JOIN s USING (doc_id, name, year) GROUP BY fact_id)
+SELECT fact_id, CASE WHEN conflict > 0 THEN 'conflict_review' WHEN unit > 0 THEN 'unit_review' WHEN unclear > 0 THEN 'ambiguous_review' WHEN good > 0 THEN 'covered' ELSE 'absent' END AS status FROM counts"""
 
 
 @query(f"WITH {_FACTS_SQL}")
 def coverage_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    saved = table(spark, sf_dir, "financial_plan").filter(F.col("예산액").isNotNull()).select("doc_id", alnum_fold(F.col("사업명")).alias("name"), F.col("연도").alias("year"), F.col("예산액").cast("decimal(20,6)").alias("value"), F.col("예산단위").alias("unit"))
-    return coverage.reconcile(_plan_facts(spark, sf_dir), saved, ["doc_id", "name", "year"])
+    return coverage.reconcile(_plan_facts(spark, sf_dir), _saved_budgets(spark, sf_dir), ["doc_id", "name", "year"])
 
 
 @query(f"SELECT status, count(*) AS n FROM (WITH {_FACTS_SQL}) GROUP BY status")
@@ -88,18 +92,20 @@ def key_blank_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.key_blank_stats(table(spark, sf_dir, "financial_plan"), _BLANKS)
 
 
-_SECTOR_CASE = "CASE t " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SECTOR.items()) + " ELSE t END"
+_SECTOR_CASE = lambda t: f"CASE {t} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SECTOR.items()) + " END"
+_SECTOR_SQL = f"coalesce({_SECTOR_CASE('t')}, {_SECTOR_CASE('bare')}, CASE WHEN length(t) <= 40 THEN t END)"
 
 
-@query(f"""SELECT row_id, CASE WHEN length(t) <= 40 THEN {_SECTOR_CASE} END AS "부문", CASE WHEN e IN ('직접배출', '간접배출', '흡수원') THEN e END AS "배출유형" FROM (SELECT row_id, regexp_replace(trim("부문"), '^[0-9A-Z]+[.)]\\s*', '') AS t, CASE trim("배출유형") WHEN '직접 배출' THEN '직접배출' WHEN '직접배출량' THEN '직접배출' WHEN '간접 배출' THEN '간접배출' WHEN '간접배출량' THEN '간접배출' WHEN '흡수' THEN '흡수원' WHEN '흡수량' THEN '흡수원' ELSE trim("배출유형") END AS e FROM emissions_regional WHERE "배출량" IS NOT NULL)""")
+@query(f"""SELECT row_id, {_SECTOR_SQL} AS "부문", CASE WHEN e IN ('직접배출', '간접배출', '흡수원') THEN e END AS "배출유형" FROM (SELECT row_id, trim("부문") AS t, trim(regexp_replace(trim("부문"), '^[0-9A-Z]+[A-Za-z0-9]*\\s+', '')) AS bare, CASE trim("배출유형") WHEN '직접 배출' THEN '직접배출' WHEN '직접배출량' THEN '직접배출' WHEN '간접 배출' THEN '간접배출' WHEN '간접배출량' THEN '간접배출' WHEN '흡수' THEN '흡수원' WHEN '흡수량' THEN '흡수원' ELSE trim("배출유형") END AS e FROM emissions_regional WHERE "배출량" IS NOT NULL)""")
 def clean_emissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_sheet(table(spark, sf_dir, "emissions_regional"), "emissions_regional").select("row_id", "부문", "배출유형")
 
 
 @query()
 def contract_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "emissions_regional").select("doc_id", "배출유형", "부문", "세부부문", "연도", "배출량", "단위", F.col("row_id").alias("seq"))
-    return clean.contract_dedup(e, ["doc_id", "배출유형", "부문", "세부부문", "연도"], "배출량").select("doc_id", "부문", "연도", "배출량", "seq", "_copies", "_conflict").withColumnsRenamed({"_copies": "n_copies", "_conflict": "in_conflict"})
+    e = table(spark, sf_dir, "emissions_regional").select("doc_id", "배출유형", "부문", "세부부문", "연도", "배출량", "단위", F.col("근거ID").alias("evidence"), F.col("row_id").alias("seq"))
+    out = clean.contract_dedup(e, ["doc_id", "배출유형", "부문", "세부부문", "연도"], "배출량", ids=("evidence",))
+    return out.select("doc_id", "부문", "연도", "배출량", "seq", F.col("_copies").alias("n_copies"), F.array_join("evidence", "|").alias("evidence"), F.col("_conflict").alias("conflict"))
 
 
 _MERGED = ["doc_id", "관리번호", "사업명", "연도", "예상감축량", "단위"]
@@ -118,10 +124,19 @@ def merge_conflict_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("earlier", "later", F.array_join("differing", "|").alias("differing"))
 
 
-@query("""WITH k AS (SELECT doc_id, "목표수준", "부문", "기준연도", "목표연도", count(DISTINCT "목표범위") AS n, min("목표범위") AS only_one FROM reduction_targets WHERE coalesce(trim("목표범위"), '') <> '' GROUP BY ALL)
-SELECT r.row_id, CASE WHEN coalesce(trim(r."목표범위"), '') <> '' THEN 'known' WHEN k.n = 1 THEN 'absorbed' WHEN k.n > 1 THEN 'ambiguous' ELSE 'alone' END AS scope_status, CASE WHEN coalesce(trim(r."목표범위"), '') <> '' THEN r."목표범위" WHEN k.n = 1 THEN k.only_one END AS target FROM reduction_targets r LEFT JOIN k ON r.doc_id IS NOT DISTINCT FROM k.doc_id AND r."목표수준" IS NOT DISTINCT FROM k."목표수준" AND r."부문" IS NOT DISTINCT FROM k."부문" AND r."기준연도" IS NOT DISTINCT FROM k."기준연도" AND r."목표연도" IS NOT DISTINCT FROM k."목표연도\"""")
+_SCOPE_KEYS, _SCOPE_OTHERS = ["doc_id", "목표수준", "부문", "기준연도", "목표연도", "단위"], ["기준배출량", "목표배출량", "출처페이지"]
+_TIGHT = r"coalesce(regexp_replace(lower({}::varchar), '[\s\pZ]+', '', 'g'), '')"
+
+
+@query(rf"""WITH t AS (SELECT row_id, "목표범위" AS scope, coalesce(trim("목표범위"), '') = '' AS blank, {" || chr(1) || ".join(_TIGHT.format(f'"{c}"') for c in [*_SCOPE_KEYS, "목표감축량"])} AS k, {", ".join(_TIGHT.format(f'"{c}"') + f" AS o{i}" for i, c in enumerate(_SCOPE_OTHERS))} FROM (SELECT * FROM reduction_targets UNION ALL SELECT * REPLACE (-row_id AS row_id, NULL AS "목표범위") FROM reduction_targets)),
+p AS (SELECT a.row_id, b.scope, {" AND ".join(f"(a.o{i} = '' OR b.o{i} = '' OR a.o{i} = b.o{i})" for i in range(len(_SCOPE_OTHERS)))} AS fits FROM t a JOIN t b ON a.k = b.k WHERE a.blank AND NOT b.blank),
+g AS (SELECT row_id, count(*) FILTER (fits) AS n, count(DISTINCT scope) FILTER (fits) AS scopes, min(scope) FILTER (fits) AS only_one FROM p GROUP BY row_id)
+SELECT t.row_id, CASE WHEN NOT blank THEN 'known' WHEN n IS NULL THEN 'alone' WHEN scopes > 1 THEN 'ambiguous_blank_scope' WHEN n = 0 THEN 'scope_candidate_payload_conflict' WHEN n = 1 THEN 'absorbed' ELSE 'several' END AS scope_status, CASE WHEN NOT blank THEN scope WHEN n = 1 THEN only_one END AS target FROM t LEFT JOIN g USING (row_id)""")
 def blank_scope_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = merge.resolve_blank_scope(table(spark, sf_dir, "reduction_targets"), ["doc_id", "목표수준", "부문", "기준연도", "목표연도"], "목표범위", "row_id")
+    """Every target once as it is and once, under the negative id, without its scope."""
+    t = table(spark, sf_dir, "reduction_targets")
+    t = t.unionByName(t.withColumns({"row_id": -F.col("row_id"), "목표범위": F.lit(None).cast("string")}))
+    out = merge.resolve_blank_scope(t, _SCOPE_KEYS, "목표감축량", "목표범위", _SCOPE_OTHERS, "row_id")
     return out.select("row_id", F.col("_scope_status").alias("scope_status"), F.col("_target").alias("target"))
 
 
@@ -201,7 +216,7 @@ def token_jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golden.similar_pairs(g, o, [], "items", golden.TOKEN_JACCARD, "row_id").withColumn("similarity", F.round("similarity", 6))
 
 
-_BIGRAMS = """WITH g AS (SELECT substr(catalog_id, 2)::bigint AS g_row, regexp_replace(lower("사업명"), '\\s+', '', 'g') AS t FROM project_catalog), o AS (SELECT row_id AS o_row, regexp_replace(lower("사업명"), '\\s+', '', 'g') AS t FROM appendix4_projects WHERE "사업명" IS NOT NULL), gs AS (SELECT g_row, list_distinct([substr(t, i, 2) for i in range(1, length(t))]) AS a FROM g), os AS (SELECT o_row, list_distinct([substr(t, i, 2) for i in range(1, length(t))]) AS b FROM o), p AS (SELECT g_row, o_row, len(list_intersect(a, b)) AS i, len(a) + len(b) AS n FROM gs, os), s AS (SELECT g_row, o_row, i / (n - i) AS similarity FROM p WHERE i > 0 AND i / (n - i) >= 0.3)"""
+_BIGRAMS = """WITH g AS MATERIALIZED (SELECT substr(catalog_id, 2)::bigint AS g_row, regexp_replace(lower("사업명"), '\\s+', '', 'g') AS t FROM project_catalog), o AS (SELECT row_id AS o_row, regexp_replace(lower("사업명"), '\\s+', '', 'g') AS t FROM appendix4_projects WHERE "사업명" IS NOT NULL), gs AS (SELECT g_row, list_distinct([substr(t, i, 2) for i in range(1, length(t))]) AS a FROM g), os AS (SELECT o_row, list_distinct([substr(t, i, 2) for i in range(1, length(t))]) AS b FROM o), p AS (SELECT g_row, o_row, len(list_intersect(a, b)) AS i, len(a) + len(b) AS n FROM gs, os), s AS MATERIALIZED (SELECT g_row, o_row, i / (n - i) AS similarity FROM p WHERE i > 0 AND i / (n - i) >= 0.3)"""
 
 
 def _bigram_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,15 +277,46 @@ def batch_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return route.batches(table(spark, sf_dir, "documents"), ["plan_id"], "doc_id", 20).select("doc_id", "batch_no")
 
 
-@query(r"""SELECT coalesce(CASE WHEN len([l for l in string_split(text, chr(10)) if regexp_matches(l, '(\.{2,}|·{2,}|\s{2,})\s*[0-9]+\s*$')]) >= 8 THEN 'contents' WHEN len([l for l in string_split(text, chr(10)) if regexp_matches(l, '^\s*[<\[]?(표|그림)\s*[0-9].*[0-9]+\s*$')]) >= 4 THEN 'captions' END, 'none') AS kind, count(*) AS n FROM documents GROUP BY 1""")
+_PAGE_FORMS = "(SELECT 'plain' AS form, text FROM documents UNION ALL SELECT 'titled', '그림 목 차' || chr(10) || text FROM documents UNION ALL SELECT 'listed', regexp_replace(text, '(?m)^(.*)$', '표 1 \\1 ..... 7', 'g') FROM documents)"
+_LINES = r"[l for l in [trim(regexp_replace(x, '[\s\pZ]+', ' ', 'g')) for x in regexp_split_to_array(text, '\r\n|[\n\r]')] if l <> '']"
+_LISTED = r"[l for l in ls if regexp_matches(l, '^[<\[(]?\s*(표|그림|figure)\s*[0-9]', 'i')]"
+
+
+@query(rf"""WITH p AS (SELECT form, {_LINES} AS ls FROM {_PAGE_FORMS}), k AS (SELECT form, [k for k in [CASE WHEN regexp_full_match(l, '표\s*(목\s*차|차\s*례)|tables?', 'i') THEN 'table_index' WHEN regexp_full_match(l, '(그림|도|사진)\s*(목\s*차|차\s*례)|figures?', 'i') THEN 'figure_index' WHEN regexp_full_match(l, '목\s*차|차\s*례|contents?', 'i') THEN 'contents' END for l in ls[1:3]] if k IS NOT NULL][1] AS title, len({_LISTED}) AS n, len([l for l in {_LISTED} if regexp_matches(l, '(\.{{3,}}|·{{4,}}|…{{2,}})\s*[0-9]+\s*$')]) AS leaders FROM p)
+SELECT form, coalesce(title, CASE WHEN n >= 8 AND leaders >= 4 THEN 'contents' END, 'none') AS kind, count(*) AS n FROM k GROUP BY 1, 2""")
 def toc_page_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.coalesce(route.index_page_kind(F.col("text")), F.lit("none"))
-    return table(spark, sf_dir, "documents").groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+    """Kinds of pages: as they are, with a title put before them, and with every line as an entry of a list."""
+    d = table(spark, sf_dir, "documents")
+    forms = F.array(F.struct(F.lit("plain").alias("form"), F.col("text")), F.struct(F.lit("titled").alias("form"), F.concat(F.lit("그림 목 차\n"), "text").alias("text")), F.struct(F.lit("listed").alias("form"), F.regexp_replace("text", "(?m)^(.*)$", "표 1 $1 ..... 7").alias("text")))
+    pages = d.select(F.inline(forms))
+    return pages.groupBy("form", F.coalesce(route.index_page_kind(F.col("text")), F.lit("none")).alias("kind")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT DISTINCT t.row_id FROM reduction_targets t JOIN quantitative_reductions q ON t.doc_id = q.doc_id AND t."목표연도" = q."연도" AND abs(t."목표감축량" - q."예상감축량") / greatest(abs(t."목표감축량"), abs(q."예상감축량"), 1.0) <= 0.005""")
+@query("""WITH q AS (SELECT doc_id, "연도" AS y, "예상감축량" AS v, "출처페이지" AS p, "근거ID" AS e FROM quantitative_reductions UNION ALL SELECT doc_id, "목표연도", "목표감축량" * 1.003, "출처페이지", "근거ID" FROM reduction_targets)
+SELECT DISTINCT t.row_id FROM reduction_targets t JOIN q ON t.doc_id = q.doc_id AND t."목표연도" = q.y AND abs(t."목표감축량" - q.v) / greatest(abs(t."목표감축량"), abs(q.v), 1.0) <= 0.005 WHERE (trim(t."근거ID") <> '' AND t."근거ID" = q.e) OR (t."출처페이지" = q.p AND trim(t."목표수준") = '연차경로')""")
 def leakage_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return guard.duplicated_elsewhere(table(spark, sf_dir, "reduction_targets"), table(spark, sf_dir, "quantitative_reductions"), [("doc_id", "doc_id"), ("목표연도", "연도")], ("목표감축량", "예상감축량"), "row_id")
+    """Targets that a quantitative row repeats: same year and number, and the same evidence, or the same page of a yearly path.
+
+    Beside the table's own rows, the targets themselves stand among the quantitative ones, with numbers a little larger.
+    """
+    t, q = table(spark, sf_dir, "reduction_targets"), table(spark, sf_dir, "quantitative_reductions")
+    columns = ["doc_id", "연도", "예상감축량", "출처페이지", "근거ID"]
+    other = q.select(*columns).unionByName(t.select("doc_id", F.col("목표연도").alias("연도"), (F.col("목표감축량") * 1.003).alias("예상감축량"), "출처페이지", "근거ID"))
+    residual = ((F.trim("근거ID") != "") & (F.col("근거ID") == F.col("_r_근거ID"))) | ((F.col("출처페이지") == F.col("_r_출처페이지")) & (F.trim("목표수준") == "연차경로"))
+    return guard.duplicated_elsewhere(t, other, [("doc_id", "doc_id"), ("목표연도", "연도")], ("목표감축량", "예상감축량"), "row_id", residual, ("근거ID", "출처페이지"))
+
+
+@query(r"""WITH p AS (SELECT doc_id, text, [[c for c in string_split(l, '|')] for l in string_split(text, chr(10))] AS rows FROM documents), t AS (SELECT *, CASE WHEN len([r for r in rows if len(r) > 1]) >= 2 THEN 'table' ELSE 'text' END AS kind, list_max([len(r) for r in rows]) AS width, flatten(rows) AS cells FROM p), c AS (SELECT *, len([c for c in cells if trim(regexp_replace(c, '[\s\pZ]+', ' ', 'g')) <> '']) AS filled FROM t),
+s AS (SELECT doc_id, kind, CASE WHEN kind = 'text' THEN CASE WHEN length(trim(coalesce(text, ''))) >= 80 THEN 0.98 WHEN length(trim(coalesce(text, ''))) >= 20 THEN 0.78 ELSE 0.25 END ELSE greatest(0, 0.96 - CASE WHEN filled / len(cells) < 0.7 THEN 0.3 ELSE 0 END - CASE WHEN len([r for r in rows if len(r) <> width]) / len(rows) > 0.25 THEN 0.25 ELSE 0 END - CASE WHEN filled < 4 THEN 0.35 ELSE 0 END - CASE WHEN len(rows) >= 45 OR width >= 12 THEN 0.18 ELSE 0 END) END::double AS confidence FROM c)
+SELECT doc_id, kind AS object_type, round(confidence, 4) AS confidence, CASE WHEN kind = 'table' AND confidence < 0.78 THEN 'ocr_required' ELSE 'native_keep' END AS action FROM s""")
+def object_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confidence and action for every page as one object, a table where two lines or more have cells."""
+    d = table(spark, sf_dir, "documents")
+    rows = F.transform(F.split("text", "\n"), lambda l: F.split(l, r"\|"))  # noqa: E741
+    typed = d.select("doc_id", "text", rows.alias("rows")).withColumn("object_type", F.when(F.size(F.filter("rows", lambda r: F.size(r) > 1)) >= 2, "table").otherwise("text"))
+    no = F.lit(False)
+    scored = typed.withColumns({"confidence": objects.native_confidence(F.col("object_type"), F.col("text"), F.col("rows"), no, F.lit(None).cast("string")), "signals": objects.data_signals(F.col("text")), "negative": F.filter(F.array(*[F.lit(w) for w in objects.NEGATIVE_SIGNALS]), lambda w: F.contains(F.col("text"), w)), "render_proxy": no, "index_caption": no})
+    return objects.triage(scored).select("doc_id", "object_type", "confidence", "action")
 
 
 @query("""WITH r AS (SELECT "목표수준" AS sheet, 'no_target_quantity' AS reason FROM reduction_targets WHERE "목표감축량" IS NULL AND "목표배출량" IS NULL UNION ALL SELECT "목표수준", 'visual_metric_label_as_sector' FROM reduction_targets WHERE regexp_matches("부문", '배출량|감축량|비율|증감|%') UNION ALL SELECT "목표수준", 'no_scope' FROM reduction_targets WHERE "목표범위" IS NULL) SELECT sheet, reason, count(*) AS n FROM r GROUP BY CUBE (sheet, reason)""")

@@ -37,9 +37,13 @@ def tolerant_json(col: Column) -> Column:
 
 
 def strict_ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines with their file, line number by offset order and a flag for damaged lines."""
-    df = spark.read.schema(f"{schema}, _damaged STRING").option("columnNameOfCorruptRecord", "_damaged").option("mode", "PERMISSIVE").json(path)
-    return df.withColumn("file", F.col("_metadata.file_path"))
+    """JSON lines with their file, line_no from 1 and, for a damaged line, its text in _damaged.
+
+    A ledger file is read whole, as only its beginning tells the numbers of its lines; blank lines count but give no row.
+    """
+    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("_i", "_line"))
+    read = lines.filter(F.trim("_line") != "").withColumn("r", F.from_json("_line", f"{schema}, _damaged STRING", {"columnNameOfCorruptRecord": "_damaged", "mode": "PERMISSIVE"}))
+    return read.select("r.*", "file", (F.col("_i") + 1).alias("line_no"))
 
 
 def last_record(df: DataFrame, key: str, order: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from factsieve.operators.ledger import FAILED
+from factsieve.operators.ledger import fold
 
 
 def coalesce_stream(ledger: DataFrame, key: str = "batch_id", order: str = "line_no") -> DataFrame:
@@ -25,12 +25,7 @@ def coalesce_stream(ledger: DataFrame, key: str = "batch_id", order: str = "line
             status, payload, recovered = state.get
             current = {"status": status, "payload": list(payload), "recovered": recovered}
         rows = pd.concat(list(pieces)).sort_values(order).to_dict("records")
-        for r in rows:
-            payload = list(r["payload"]) if r["payload"] is not None else []
-            if r["status"] == "ok" or current is None or current["status"] not in FAILED or not current["payload"]:
-                current = {"status": r["status"], "payload": payload, "recovered": False}
-            else:
-                current = {"status": "partial", "payload": current["payload"] + [p for p in payload if p not in current["payload"]], "recovered": True}
+        current = fold(rows, current)
         state.update((current["status"], current["payload"], current["recovered"]))
         yield pd.DataFrame([{key: keys[0], **current}])
 

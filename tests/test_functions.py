@@ -38,7 +38,7 @@ def test_ids(spark):
 
 
 def test_codes(spark):
-    assert one(spark, codes.sector, "A. 교통") == "수송"
+    assert one(spark, codes.sector, "A3 교통") == "수송"
     assert one(spark, lambda c: codes.axis("배출유형", c)["rejected"], "합계") == "합계"
     assert one(spark, codes.forecast_method, "회귀분석과 시계열") == "stat_time_series"
 

@@ -1,7 +1,9 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from factsieve.functions import codes
 from factsieve.operators import clean, context, coverage, golden, guard, ledger, merge, objects, quality, route
 from factsieve.sources import html_tables, json_text, workbook
 from factsieve.streaming.ledger_stream import coalesce_stream
@@ -19,7 +21,52 @@ def test_first_non_null_takes_input_order(spark):
 def test_contract_dedup_merges_only_one_compatible(spark):
     df = spark.createDataFrame([(1, "k", 1.0, "a", None), (2, "k", 1.0, None, "b"), (3, "k", 2.0, "a", None), (4, "z", 1.0, "q", "r")], "seq int, k string, v double, p string, q string")
     got = clean.contract_dedup(df, ["k"], "v").select("k", "v", "p", "q", "_copies", "_conflict")
-    assert sorted(map(tuple, got.collect()), key=str) == sorted([("k", 1.0, "a", "b", 2, True), ("k", 2.0, "a", None, 1, True), ("z", 1.0, "q", "r", 1, False)], key=str)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("k", 1.0, "a", "b", 2, "same_entity_different_value"), ("k", 2.0, "a", None, 1, "same_entity_different_value"), ("z", 1.0, "q", "r", 1, None)], key=str)
+
+
+def test_contract_dedup_unites_evidence_and_keeps_original_axes_apart(spark):
+    df = spark.createDataFrame([(1, "k", 1.0, "a", None, "e1"), (2, "k", 1.0, "A ", None, "e2"), (3, "k", 1.0, "a", "x", "e3"), (4, "k", 1.0, "b", None, "e4")], "seq int, k string, v double, p string, _axis string, ev string")
+    got = clean.contract_dedup(df, ["k"], "v", ids=("ev",), axis_original="_axis").collect()
+    assert sorted((r["seq"], tuple(r["ev"]), r["_conflict"]) for r in got) == [(1, ("e1", "e2"), "same_entity_different_field"), (3, ("e3",), "same_entity_different_field"), (4, ("e4",), "same_entity_different_field")]
+
+
+@pytest.mark.parametrize("text,code", [("1A3 도로", "수송"), ("3.기타", "3.기타"), (" 교통 ", "수송"), ("가" * 41, None), (None, None)])
+def test_sector(spark, text, code):
+    assert spark.createDataFrame([(text,)], "s string").select(codes.sector(F.col("s")).alias("x")).first()["x"] == code
+
+
+@pytest.mark.parametrize("text,kind", [("\n표 차 례\n표 1 가", "table_index"), ("1장\n그림목차", "figure_index"), ("CONTENTS\n1", "contents"), ("머리\n" + "\n".join(f"표 {i} 가 ... {i}" for i in range(8)), "contents"), ("\n".join(f"가  나 {i}" for i in range(20)), None), (None, None)])
+def test_index_pages(spark, text, kind):
+    assert spark.createDataFrame([(text,)], "t string").select(route.index_page_kind(F.col("t")).alias("x")).first()["x"] == kind
+
+
+def test_responses(spark):
+    fields = "candidate_id int, status string, name string, year int, funding string, page int, object_id string, evidence_id string, amount string, unit string, quote string"
+    good = ("read", "가 나", 2024, "총계", 3, "o", "e", "1,200", "백만원", "사업비 1,200백만원")
+    change = lambda i, **new: (i, *[new.get(k.split()[0], v) for k, v in zip(fields.split(", ")[1:], good)])
+    given = [change(1), change(1), change(2), change(2, amount="7"), change(3, status="blank"), change(4, name="다"), change(5, page=4), change(6, unit="억원"), change(7, amount="1300"), change(8, quote="11,200"), change(10, year=None)]
+    targets = spark.createDataFrame([(i, "가나", 2024, "합계", 3, "o", ["e", "f"], "1200", "백만원") for i in range(1, 11)], "candidate_id int, name string, year int, funding string, page int, object_id string, evidence_ids array<string>, v string, unit string").withColumn("value", F.col("v").cast("decimal(20,6)"))
+    got = dict(tuple(r)[::2] for r in guard.validate_responses(targets, spark.createDataFrame(given, fields)).collect())
+    assert got == {1: "source_fact_and_review_agree", 2: "conflicting_duplicate_response", 3: "model_blank", 4: "business_mismatch", 5: "page_mismatch", 6: "unit_or_scale_mismatch", 7: "source_value_conflict", 8: "amount_quote_missing", 9: "not_returned", 10: "year_mismatch"}
+
+
+def test_strict_ledger_has_line_numbers(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"id": 1}\n\n{damaged\n{"id": 4}\n')
+    got = json_text.strict_ledger(spark, str(tmp_path / "a.jsonl"), "id int").orderBy("line_no").collect()
+    assert [(r["line_no"], r["id"], r["_damaged"] is not None) for r in got] == [(1, 1, False), (3, None, True), (4, 4, False)]
+
+
+def test_objects_of_other_documents_dont_match(spark):
+    r = spark.createDataFrame([(1, "d1", ["e1"], [], "3-1", [5]), (2, "d2", [], ["o1"], "3-1", [5])], "row_id int, doc_id string, evidence_ids array<string>, object_ids array<string>, number string, pages array<int>")
+    o = spark.createDataFrame([("d1", "o1", "e1", "3-1", 5), ("d3", "o9", "e1", "3-1", 5)], "doc_id string, object_id string, evidence_id string, number string, page_number int")
+    assert rows(objects.evidence_match(r, o, "row_id"), "row_id") == [(1, "o1", "exact"), (2, None, "missing")]
+
+
+def test_confidence_of_native_objects(spark):
+    full, ragged = [["a", "b"], ["c", "d"], ["e", "f"]], [["a", "b", "c"], ["d"], ["e"], ["f"]]
+    df = spark.createDataFrame([(1, "text", "가" * 80, None), (2, "text", " 가 ", None), (3, "table", None, full), (4, "table", None, ragged), (5, "table", None, [["a"]]), (6, "chart", None, None), (7, "figure", "", []), (8, "other", None, None)], "i int, k string, t string, r array<array<string>>")
+    got = rows(df.select("i", objects.native_confidence(F.col("k"), F.col("t"), F.col("r"), F.lit(None).cast("boolean"), F.lit(None).cast("string")).alias("c")), "i")
+    assert got == [(1, 0.98), (2, 0.25), (3, 0.96), (4, 0.71), (5, 0.15), (6, 0.2), (7, 0.3), (8, 0.5)]
 
 
 def test_clean_sheet(spark):
@@ -49,9 +96,11 @@ def test_stable_merge_is_order_free(spark):
 
 
 def test_blank_scope(spark):
-    df = spark.createDataFrame([(1, "k", "A"), (2, "k", ""), (3, "m", "A"), (4, "m", "B"), (5, "m", None), (6, "z", None)], "seq int, k string, s string")
-    got = {r["seq"]: (r["_scope_status"], r["_target"]) for r in merge.resolve_blank_scope(df, ["k"], "s", "seq").collect()}
-    assert got[2] == ("absorbed", "A") and got[5] == ("ambiguous", None) and got[6] == ("alone", None) and got[1][0] == "known"
+    data = [(1, "k", 5.0, "A", "p"), (2, "k", 5.0, "", None), (3, "m", 1.0, "A", None), (4, "m", 1.0, "B", None), (5, "m", 1.0, None, None), (6, "z", 1.0, None, None), (7, "k", 6.0, None, None), (8, "k", 5.0, None, "q"), (9, "n", 1.0, "A", None), (10, "n", 1.0, "A", None), (11, "n", 1.0, " ", None)]
+    df = spark.createDataFrame(data, "seq int, k string, v double, s string, o string")
+    got = {r["seq"]: (r["_scope_status"], r["_target"]) for r in merge.resolve_blank_scope(df, ["k"], "v", "s", ["o"], "seq").collect()}
+    assert got[1] == ("known", "A") and got[2] == ("absorbed", "A") and got[5] == ("ambiguous_blank_scope", None) and got[6] == ("alone", None)
+    assert got[7] == ("alone", None) and got[8] == ("scope_candidate_payload_conflict", None) and got[11] == ("several", None)
 
 
 def test_append_only(spark):
@@ -154,6 +203,18 @@ def test_coverage(spark):
     assert rows(got, "fact_id") == [(1, "covered"), (2, "conflict_review"), (3, "unit_review"), (4, "absent")]
 
 
+def test_conflict_is_not_hidden_by_a_matching_duplicate(spark):
+    facts = spark.createDataFrame([(i, k, "100", "백만원", [1]) for i, k in enumerate("abcdefg")], "fact_id int, k string, v string, unit string, pages array<int>")
+    saved = [("a", "100", "백만원", [1]), ("a", "101", "백만원", [1]), ("b", "1", "억원", [1]), ("b", "100", "tCO2", [1]), ("c", "100", "백만원", [1]), ("c", None, "백만원", [1]), ("d", "100", "백만원", [2]), ("e", "100", "백만원", [2, 1]), ("e", "100", "백만원", [2, 1]), ("f", "100", " ", [1])]
+    num = F.col("v").cast("decimal(20,6)").alias("value")
+    s = spark.createDataFrame(saved, "k string, v string, unit string, pages array<int>")
+    got = coverage.reconcile(facts.select("fact_id", "k", num, "unit", "pages"), s.select("k", num, "unit", "pages"), ["k"], "pages")
+    assert rows(got, "fact_id") == [(0, "conflict_review"), (1, "unit_review"), (2, "ambiguous_review"), (3, "ambiguous_review"), (4, "covered"), (5, "ambiguous_review"), (6, "absent")]
+    # A name alone covers nothing: without common pages the same rows are ambiguous.
+    alone = coverage.reconcile(facts.filter("k = 'c'").select("fact_id", "k", num, "unit", F.lit(None).cast("array<int>").alias("pages")), s.select("k", num, "unit", "pages"), ["k"], "pages")
+    assert rows(alone, "fact_id") == [(2, "ambiguous_review")]
+
+
 def test_itemize_repeated_headers(spark):
     grid = [["사업명", "단위", "2024", "2025"], ["a", "t", "1", "-"], ["합계", "t", "9", "9"], ["사업명", "단위", "2026", "2027"], ["b", "t", "3", "0"]]
     df = spark.createDataFrame([("d", grid)], "doc string, rows array<array<string>>")
