@@ -38,8 +38,11 @@ def alnum_fold(col: Column) -> Column:
     return F.regexp_replace(F.lower(col), "[^0-9a-z가-힣]+", "")
 
 
-#: All Hangul syllables in the order of their code points.
-SYLLABLES = "".join(chr(c) for c in range(0xAC00, 0xD7A4))
+def _syllable(number: Column) -> Column:
+    """The Hangul syllable of a number from 0, by the three bytes of its code point."""
+    code = (number + 0xAC00).cast("bigint")
+    part = lambda shift: F.shiftright(code, shift).bitwiseAND(0x3F) + 0x80
+    return F.unhex(F.hex((F.shiftright(code, 12) + 0xE0) * 65536 + part(6) * 256 + part(0))).cast("string")
 
 
 def composed(col: Column) -> Column:
@@ -47,7 +50,7 @@ def composed(col: Column) -> Column:
     tail = r"[\x{11a8}-\x{11c2}]"
 
     def put(text: Column, pattern: str, code: Callable[[Column], Column]) -> Column:
-        found = F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), 1), lambda x: F.lit(SYLLABLES).substr(code(x) + 1, F.lit(1)))
+        found = F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), 1), lambda x: _syllable(code(x)))
         between = F.split(text, pattern, -1)
         return F.array_join(F.transform(between, lambda b, i: F.concat(b, F.coalesce(F.get(found, i), F.lit("")))), "")
 

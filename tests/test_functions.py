@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from factsieve.functions import codes, geometry, ids, numbers, pages, similarity
 from factsieve.functions.joins import skew_safe_join
+from factsieve.functions.text import composed
 
 
 def one(spark, column, value, kind="string"):
@@ -62,3 +63,16 @@ def test_join_with_a_hot_key(spark):
     per_key = rows.groupBy("key").agg(F.count("*").alias("n"))
     assert skew_safe_join(rows, per_key, "key", "n").groupBy("key", "n").count().collect().__len__() == 3
     assert skew_safe_join(rows, per_key.filter("key != 'c'"), "key", "n", "left").filter("n IS NULL").count() == 2
+
+
+@pytest.mark.parametrize("text", ["천tCO2eq", "백만 원 그루", "값x힣가", "없음", "plain", ""])
+def test_composed_hangul(spark, text):
+    import unicodedata
+
+    df = spark.createDataFrame([(unicodedata.normalize("NFD", text), text)], "a string, b string")
+    assert tuple(df.select(composed(F.col("a")), composed(F.col("b"))).first()) == (text, text)
+
+
+def test_composed_of_open_syllable_and_null(spark):
+    df = spark.createDataFrame([("처\u11ab", ), (None,)], "a string")
+    assert [r[0] for r in df.select(composed(F.col("a"))).collect()] == ["천", None]
