@@ -117,10 +117,13 @@ def stable_fact_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.stable_merge(q, _MERGED, ["근거ID"], "row_id").select("first_seq", "n_rows", F.array_join("근거ID", "|").alias("evidence"))
 
 
-@query("""WITH f AS (SELECT doc_id, "관리번호", "연도", "단위", "예상감축량" AS a, "활동량" AS b, min(row_id) AS id FROM quantitative_reductions GROUP BY ALL)
-SELECT x.id AS earlier, y.id AS later, concat_ws('|', CASE WHEN x.a <> y.a THEN '예상감축량' END, CASE WHEN x.b <> y.b THEN '활동량' END) AS differing FROM f x JOIN f y ON x.doc_id IS NOT DISTINCT FROM y.doc_id AND x."관리번호" IS NOT DISTINCT FROM y."관리번호" AND x."연도" IS NOT DISTINCT FROM y."연도" AND x."단위" IS NOT DISTINCT FROM y."단위" AND x.id < y.id WHERE x.a <> y.a OR x.b <> y.b""")
+_BUDGET = ["doc_id", "계획구분", "부문", "사업명", "재원구분", "연도", "예산단위"]
+
+
+@query(f"""WITH f AS (SELECT {", ".join(f'"{c}"' for c in _BUDGET)}, "예산액" AS a, "출처페이지" AS b, min(row_id) AS id FROM financial_plan GROUP BY ALL)
+SELECT x.id AS earlier, y.id AS later, concat_ws('|', CASE WHEN x.a <> y.a THEN '예산액' END, CASE WHEN x.b <> y.b THEN '출처페이지' END) AS differing FROM f x JOIN f y ON {" AND ".join(f'x."{c}" IS NOT DISTINCT FROM y."{c}"' for c in _BUDGET)} AND x.id < y.id WHERE x.a <> y.a OR x.b <> y.b""")
 def merge_conflict_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = merge.conflict_pairs(table(spark, sf_dir, "quantitative_reductions"), ["doc_id", "관리번호", "연도", "단위"], ["예상감축량", "활동량"], "row_id")
+    pairs = merge.conflict_pairs(table(spark, sf_dir, "financial_plan"), _BUDGET, ["예산액", "출처페이지"], "row_id")
     return pairs.select("earlier", "later", F.array_join("differing", "|").alias("differing"))
 
 
