@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factsieve.functions.joins import broadcast_if_small
 from factsieve.functions.similarity import jaccard
 from factsieve.functions.storage import materialize
 
@@ -47,6 +50,55 @@ def relaxed_kernel(golden: DataFrame, output: DataFrame, keys: list[str], veto:
     return g.unionByName(o).join(shared, keys, "left_semi").groupBy(*keys).applyInPandas(match, "g_row bigint, o_row bigint")
 
 
+@dataclass(frozen=True)
+class SimilarSets:
+    """Similar values of two tables: (g_set, g_n, o_set, o_n, similarity) with the rows of each value counted in g_n and o_n, and which rows hold a value: (g_row, g_set), (o_row, o_set)."""
+
+    pairs: DataFrame
+    g_rows: DataFrame
+    o_rows: DataFrame
+
+
+def similar_sets(golden: DataFrame, output: DataFrame, partition: list[str], items: str, least: float, order: str, split: Callable[[Column], Column] | None = None) -> SimilarSets:
+    """Pairs of the distinct values of a partition whose item sets, made of the column ``items`` by ``split``, reach a Jaccard similarity of ``least``.
+
+    Each value is compared once, however many rows hold it. Prefix filtering: with items in rare-first order, two sets of
+    that similarity share an item among their first n - ceil(least * n) + 1; so only those prefixes are joined, and a
+    frequent item brings few pairs together. The rarest shared item stands in both prefixes, so a pair is taken there alone
+    and nothing but true pairs leaves the join.
+    """
+    spark = golden.sparkSession
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = lambda df: df.select(*partition, F.col(order).alias("row"), F.col(items).alias("value")).filter(F.col("value").isNotNull())
+    numbered = lambda df: materialize(df.groupBy(*partition, "value").agg(F.count("*").alias("n")).withColumn("set", F.monotonically_increasing_id()), "values")
+    g, o = base(golden), base(output)
+    g_values, o_values = numbered(g), numbered(o)
+    members = lambda values: materialize(values.select("set", F.explode(F.array_distinct(split(F.col("value")) if split else F.col("value"))).alias("item")), "members")
+    g_members, o_members = members(g_values), members(o_values)
+    # Numbers that rise with the sorted order stand for the items, so sorted numbers are items from the rarest on.
+    frequency = g_members.unionByName(o_members).groupBy("item").agg(F.count("*").alias("f"))
+    codes = materialize(frequency.orderBy("f", "item").select("item", F.monotonically_increasing_id().alias("code")), "codes")
+
+    def coded(values: DataFrame, members: DataFrame, side: str) -> DataFrame:
+        sets = members.join(codes, "item").groupBy("set").agg(F.array_sort(F.collect_list("code")).alias("items"))
+        sets = sets.join(values.select(*partition, "set", "n"), "set").select(*partition, F.col("set").alias(f"{side}_set"), F.col("n").alias(f"{side}_n"), F.col("items").alias(f"_{side}"))
+        return materialize(sets.repartition(spread, f"{side}_set"), "sets")
+
+    def prefixes(sets: DataFrame, side: str) -> DataFrame:
+        n = F.size(f"_{side}")
+        return sets.withColumn("code", F.explode(F.slice(f"_{side}", F.lit(1), (n - F.ceil(n * least - 1e-9) + 1).cast("int"))))
+
+    a, b = prefixes(coded(g_values, g_members, "g"), "g"), prefixes(coded(o_values, o_members, "o"), "o")
+    shared, total = F.array_intersect("_g", "_o"), F.size("_g") + F.size("_o")
+    # The bound that costs one look at a candidate comes first; what is left is held to the exact one.
+    likely = F.size(shared) >= total * (least / (1 + least)) - 1e-6
+    similarity = F.size(shared).cast("double") / (total - F.size(shared)).cast("double")
+    pairs = b.join(broadcast_if_small(a, 20_000), [*partition, "code"]).filter(likely).filter((F.get(shared, F.lit(0)) == F.col("code")) & (similarity >= least))
+    pairs = materialize(pairs.select("g_set", "g_n", "o_set", "o_n", similarity.alias("similarity")), "pairs")
+    rows = lambda df, values, side: df.join(values, [*partition, "value"]).select(F.col("row").alias(f"{side}_row"), F.col("set").alias(f"{side}_set"))
+    return SimilarSets(pairs, rows(g, g_values, "g"), rows(o, o_values, "o"))
+
+
 def similar_pairs(golden: DataFrame, output: DataFrame, partition: list[str], items: str, least: float, order: str) -> DataFrame:
     """(g_row, o_row, similarity): pairs of a partition whose item sets reach a Jaccard similarity of ``least``.
 
@@ -70,15 +122,21 @@ def similar_pairs(golden: DataFrame, output: DataFrame, partition: list[str], it
     return pairs.withColumn("similarity", jaccard(F.col("_g"), F.col("_o"))).filter(F.col("similarity") >= least).select("g_row", "o_row", "similarity")
 
 
-def mutual_best(pairs: DataFrame) -> DataFrame:
-    """Pairs that are the single best of both their rows; ties on either side are left out."""
-    def best(side: str) -> DataFrame:
-        top = pairs.groupBy(side).agg(F.max("similarity").alias("_m"))
-        only = pairs.join(top, side).filter("similarity = _m").groupBy(side).agg(F.count("*").alias("_n"), F.first("_m").alias("_m"))
-        return only.filter("_n = 1").select(side, F.col("_m").alias(f"_m_{side}"))
+def mutual_best(found: SimilarSets) -> DataFrame:
+    """(g_row, o_row, similarity): pairs that are the single best of both their rows; ties on either side are left out.
+
+    Bests and ties are found among the values by the number of their rows; pairs of rows are never listed.
+    """
+
+    def best(rows: DataFrame, side: str, other: str) -> DataFrame:
+        at = found.pairs.groupBy(f"{side}_set", "similarity").agg(F.sum(f"{other}_n").alias("_n"))
+        top = at.groupBy(f"{side}_set").agg(F.max(F.struct("similarity", "_n")).alias("_b"))
+        # A row number that stands on several rows has the best of them all.
+        at = rows.join(top, f"{side}_set").groupBy(f"{side}_row", "_b.similarity").agg(F.sum("_b._n").alias("_n"), F.min(f"{side}_set").alias("_s"))
+        return at.groupBy(f"{side}_row").agg(F.max(F.struct("similarity", "_n", "_s")).alias("_b")).filter("_b._n = 1").select(f"{side}_row", F.col("_b._s").alias(f"{side}_set"), F.col("_b.similarity").alias("similarity"))
 
-    both = pairs.join(best("g_row"), "g_row").join(best("o_row"), "o_row")
-    return both.filter("similarity = _m_g_row AND similarity = _m_o_row").select("g_row", "o_row", "similarity")
+    both = found.pairs.join(best(found.g_rows, "g", "o"), ["g_set", "similarity"]).join(best(found.o_rows, "o", "g"), ["o_set", "similarity"])
+    return both.select("g_row", "o_row", "similarity")
 
 
 def greedy_assignment(pairs: DataFrame, partition: str) -> DataFrame:

@@ -228,6 +228,13 @@ def _bigram_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golden.similar_pairs(g, o, [], "items", golden.BIGRAM_JACCARD, "row_id")
 
 
+def _bigram_inputs(spark: SparkSession, sf_dir: str) -> tuple:
+    """The arguments of a bigram match of catalogue and project names: names as they are, so that each is cut and compared once."""
+    g = table(spark, sf_dir, "project_catalog").select(F.substring("catalog_id", 2, 10).cast("bigint").alias("row_id"), "사업명")
+    o = table(spark, sf_dir, "appendix4_projects").select("row_id", "사업명")
+    return g, o, [], "사업명", golden.BIGRAM_JACCARD, "row_id", bigrams
+
+
 @query(_BIGRAMS + " SELECT g_row, o_row, round(similarity, 6) AS similarity FROM s")
 def bigram_jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bigram_pairs(spark, sf_dir).withColumn("similarity", F.round("similarity", 6))
@@ -235,7 +242,7 @@ def bigram_jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_BIGRAMS + ", tg AS (SELECT g_row, max(similarity) AS m, count(*) FILTER (similarity = x) AS n FROM (SELECT *, max(similarity) OVER (PARTITION BY g_row) AS x FROM s) GROUP BY g_row), t_o AS (SELECT o_row, max(similarity) AS m, count(*) FILTER (similarity = x) AS n FROM (SELECT *, max(similarity) OVER (PARTITION BY o_row) AS x FROM s) GROUP BY o_row) SELECT s.g_row, s.o_row, round(s.similarity, 6) AS similarity FROM s JOIN tg ON tg.g_row = s.g_row AND tg.m = s.similarity AND tg.n = 1 JOIN t_o ON t_o.o_row = s.o_row AND t_o.m = s.similarity AND t_o.n = 1")
 def mutual_best_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return golden.mutual_best(_bigram_pairs(spark, sf_dir)).withColumn("similarity", F.round("similarity", 6))
+    return golden.mutual_best(golden.similar_sets(*_bigram_inputs(spark, sf_dir))).withColumn("similarity", F.round("similarity", 6))
 
 
 #: Words that route pages to subjects: strong, weak and negative ones.

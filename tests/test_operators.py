@@ -142,6 +142,36 @@ def test_similar_pairs_equal_brute_force(spark):
     assert got == exact
 
 
+def _jaccard_brute_force(a, b, least):
+    return [(i, j, len({*x} & {*y}) / len({*x} | {*y})) for i, x in a for j, y in b if x and y and len({*x} & {*y}) / len({*x} | {*y}) >= least]
+
+
+def test_mutual_best_lists_no_pairs_of_rows(spark):
+    # A name that many rows hold is compared once; of the two others, one is single on both sides.
+    a = [(i, ["u", "v", "w"]) for i in range(1500)] + [(5000, ["p", "q"]), (5001, ["x", "y"])]
+    b = [(i, ["u", "v", "w"]) for i in range(1500)] + [(5000, ["p", "q", "r"]), (5001, ["x", "y"]), (5001, ["x", "y"]), (5002, [])]
+    df = lambda x: spark.createDataFrame(x, "row int, items array<string>")
+    found = golden.similar_sets(df(a), df(b), [], "items", 0.3, "row")
+    assert found.pairs.count() == 3
+    assert rows(golden.mutual_best(found), "g_row") == [(5000, 5000, 2 / 3)]
+
+
+def test_mutual_best_equals_brute_force(spark):
+    import random
+    from collections import Counter
+
+    random.seed(9)
+    # Row numbers that stand on two rows, equal sets and empty ones among them.
+    make = lambda n, size: [(random.randint(0, n), [f"w{random.randint(0, size)}" for _ in range(random.randint(0, 6))]) for i in range(n)]
+    a, b = make(60, 20), make(70, 20)
+    df = lambda x: spark.createDataFrame(x, "row int, items array<string>")
+    pairs = _jaccard_brute_force(a, b, 0.3)
+    alone = lambda k: {key: m for key, m, n in ((key, max(p[2] for p in pairs if p[k] == key), None) for key in {p[k] for p in pairs}) if Counter(p[2] for p in pairs if p[k] == key)[m] == 1}
+    g, o = alone(0), alone(1)
+    exact = sorted(p for p in pairs if g.get(p[0]) == p[2] and o.get(p[1]) == p[2])
+    assert exact and rows(golden.mutual_best(golden.similar_sets(df(a), df(b), [], "items", 0.3, "row")), "g_row") == exact
+
+
 def test_unique_graph(spark):
     g = spark.createDataFrame([(1, "k", "s", 1.0), (2, "m", None, 1.0), (3, "q", None, 2.0)], "row int, k string, c string, v double")
     o = spark.createDataFrame([(5, "k", None, 1.0), (6, "k", "s", 1.0), (7, "m", "x", 1.0), (8, "m", "y", 2.0)], "row int, k string, c string, v double")
