@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factsieve.functions.joins import broadcast_if_small
-from factsieve.functions.similarity import jaccard
 from factsieve.functions.storage import materialize
 
 TOKEN_JACCARD, BIGRAM_JACCARD, OBSERVE_JACCARD = 0.6, 0.3, 0.2
@@ -99,27 +98,13 @@ def similar_sets(golden: DataFrame, output: DataFrame, partition: list[str], ite
     return SimilarSets(pairs, rows(g, g_values, "g"), rows(o, o_values, "o"))
 
 
-def similar_pairs(golden: DataFrame, output: DataFrame, partition: list[str], items: str, least: float, order: str) -> DataFrame:
-    """(g_row, o_row, similarity): pairs of a partition whose item sets reach a Jaccard similarity of ``least``.
-
-    Prefix filtering: with items in rare-first order, two sets of that similarity share an item among their first
-    n - ceil(least * n) + 1; so only those prefixes are joined, and a frequent item brings few pairs together.
-    """
-    base = lambda df: df.select(*partition, F.col(order).alias("row"), F.array_distinct(items).alias("items")).filter(F.size("items") > 0)
-    g, o = base(golden), base(output)
-    exploded = g.select("row", F.explode("items").alias("item")).unionByName(o.select("row", F.explode("items").alias("item")))
-    frequency = exploded.groupBy("item").agg(F.count("*").alias("f"))
-
-    def prefixes(df: DataFrame) -> DataFrame:
-        ranked = df.select(*partition, "row", "items", F.explode("items").alias("item")).join(frequency, "item")
-        n = F.size("items")
-        place = F.row_number().over(Window.partitionBy(*partition, "row").orderBy("f", "item"))
-        return ranked.withColumn("_p", place).filter(F.col("_p") <= n - F.ceil(n * least) + 1).drop("f", "_p")
-
-    a = prefixes(g).withColumnsRenamed({"row": "g_row", "items": "_g"})
-    b = prefixes(o).withColumnsRenamed({"row": "o_row", "items": "_o"})
-    pairs = a.join(b, [*partition, "item"]).select(*partition, "g_row", "o_row", "_g", "_o").dropDuplicates([*partition, "g_row", "o_row"])
-    return pairs.withColumn("similarity", jaccard(F.col("_g"), F.col("_o"))).filter(F.col("similarity") >= least).select("g_row", "o_row", "similarity")
+def similar_pairs(golden: DataFrame, output: DataFrame, partition: list[str], items: str, least: float, order: str, split: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(g_row, o_row, similarity): pairs of rows of a partition whose item sets reach a Jaccard similarity of ``least``."""
+    found = similar_sets(golden, output, partition, items, least, order, split)
+    spread = int(golden.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Rows multiply in the last join only; what goes into it is small but spread over all tasks.
+    half = found.o_rows.join(found.pairs.select("g_set", "o_set", "similarity"), "o_set").select("g_set", "o_row", "similarity").repartition(spread, "g_set", "o_row")
+    return half.join(broadcast_if_small(materialize(found.g_rows, "rows")), "g_set").select("g_row", "o_row", "similarity")
 
 
 def mutual_best(found: SimilarSets) -> DataFrame:

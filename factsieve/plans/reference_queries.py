@@ -222,12 +222,6 @@ def token_jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BIGRAMS = """WITH g AS MATERIALIZED (SELECT substr(catalog_id, 2)::bigint AS g_row, regexp_replace(lower("사업명"), '\\s+', '', 'g') AS t FROM project_catalog), o AS (SELECT row_id AS o_row, regexp_replace(lower("사업명"), '\\s+', '', 'g') AS t FROM appendix4_projects WHERE "사업명" IS NOT NULL), gs AS (SELECT g_row, list_distinct([substr(t, i, 2) for i in range(1, length(t))]) AS a FROM g), os AS (SELECT o_row, list_distinct([substr(t, i, 2) for i in range(1, length(t))]) AS b FROM o), p AS (SELECT g_row, o_row, len(list_intersect(a, b)) AS i, len(a) + len(b) AS n FROM gs, os), s AS MATERIALIZED (SELECT g_row, o_row, i / (n - i) AS similarity FROM p WHERE i > 0 AND i / (n - i) >= 0.3)"""
 
 
-def _bigram_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = table(spark, sf_dir, "project_catalog").select(F.substring("catalog_id", 2, 10).cast("bigint").alias("row_id"), bigrams(F.col("사업명")).alias("items"))
-    o = table(spark, sf_dir, "appendix4_projects").filter(F.col("사업명").isNotNull()).select("row_id", bigrams(F.col("사업명")).alias("items"))
-    return golden.similar_pairs(g, o, [], "items", golden.BIGRAM_JACCARD, "row_id")
-
-
 def _bigram_inputs(spark: SparkSession, sf_dir: str) -> tuple:
     """The arguments of a bigram match of catalogue and project names: names as they are, so that each is cut and compared once."""
     g = table(spark, sf_dir, "project_catalog").select(F.substring("catalog_id", 2, 10).cast("bigint").alias("row_id"), "사업명")
@@ -237,7 +231,7 @@ def _bigram_inputs(spark: SparkSession, sf_dir: str) -> tuple:
 
 @query(_BIGRAMS + " SELECT g_row, o_row, round(similarity, 6) AS similarity FROM s")
 def bigram_jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bigram_pairs(spark, sf_dir).withColumn("similarity", F.round("similarity", 6))
+    return golden.similar_pairs(*_bigram_inputs(spark, sf_dir)).withColumn("similarity", F.round("similarity", 6))
 
 
 @query(_BIGRAMS + ", tg AS (SELECT g_row, max(similarity) AS m, count(*) FILTER (similarity = x) AS n FROM (SELECT *, max(similarity) OVER (PARTITION BY g_row) AS x FROM s) GROUP BY g_row), t_o AS (SELECT o_row, max(similarity) AS m, count(*) FILTER (similarity = x) AS n FROM (SELECT *, max(similarity) OVER (PARTITION BY o_row) AS x FROM s) GROUP BY o_row) SELECT s.g_row, s.o_row, round(s.similarity, 6) AS similarity FROM s JOIN tg ON tg.g_row = s.g_row AND tg.m = s.similarity AND tg.n = 1 JOIN t_o ON t_o.o_row = s.o_row AND t_o.m = s.similarity AND t_o.n = 1")

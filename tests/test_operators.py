@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from factsieve.functions import codes
+from factsieve.functions.similarity import bigrams
 from factsieve.operators import clean, context, coverage, golden, guard, ledger, merge, objects, quality, route
 from factsieve.sources import html_tables, json_text, workbook
 from factsieve.streaming.ledger_stream import coalesce_stream
@@ -172,6 +173,26 @@ def test_mutual_best_equals_brute_force(spark):
     assert exact and rows(golden.mutual_best(golden.similar_sets(df(a), df(b), [], "items", 0.3, "row")), "g_row") == exact
 
 
+def test_similar_pairs_keep_every_row(spark):
+    import random
+
+    random.seed(5)
+    # Each row counts, also where a row number stands on several; a name is cut by the caller's rule.
+    make = lambda n: [(random.randint(0, n), "".join(random.choice("abc ") for _ in range(random.randint(0, 6)))) for _ in range(n)] + [(n + 1, None)]
+    a, b = make(40), make(50)
+    df = lambda x: spark.createDataFrame(x, "row int, name string")
+    cut = lambda x: [(i, [t[k : k + 2] for k in range(len(t) - 1)]) for i, t in ((i, (t or "").replace(" ", "")) for i, t in x)]
+    exact = sorted(_jaccard_brute_force(cut(a), cut(b), 0.3))
+    got = golden.similar_pairs(df(a), df(b), [], "name", 0.3, "row", bigrams)
+    assert exact and sorted(tuple(r) for r in got.collect()) == exact
+
+
+def test_similar_pairs_within_a_partition(spark):
+    a = spark.createDataFrame([(1, "d", ["x", "y"]), (2, "e", ["x", "y"]), (3, None, ["x"])], "row int, doc string, items array<string>")
+    b = spark.createDataFrame([(7, "d", ["y", "x", "x"]), (8, "f", ["x"]), (9, None, ["x"])], "row int, doc string, items array<string>")
+    assert rows(golden.similar_pairs(a, b, ["doc"], "items", 0.6, "row"), "g_row") == [(1, 7, 1.0)]
+
+
 def test_unique_graph(spark):
     g = spark.createDataFrame([(1, "k", "s", 1.0), (2, "m", None, 1.0), (3, "q", None, 2.0)], "row int, k string, c string, v double")
     o = spark.createDataFrame([(5, "k", None, 1.0), (6, "k", "s", 1.0), (7, "m", "x", 1.0), (8, "m", "y", 2.0)], "row int, k string, c string, v double")
