@@ -81,7 +81,8 @@ def similar_sets(golden: DataFrame, output: DataFrame, partition: list[str], ite
     def coded(values: DataFrame, members: DataFrame, side: str) -> DataFrame:
         sets = members.join(codes, "item").groupBy("set").agg(F.array_sort(F.collect_list("code")).alias("items"))
         sets = sets.join(values.select(*partition, "set", "n"), "set").select(*partition, F.col("set").alias(f"{side}_set"), F.col("n").alias(f"{side}_n"), F.col("items").alias(f"_{side}"))
-        return materialize(sets.repartition(spread, f"{side}_set"), "sets")
+        # Small files are read by few tasks, so the sets are spread again for the join.
+        return materialize(sets, "sets").repartition(spread, f"{side}_set")
 
     def prefixes(sets: DataFrame, side: str) -> DataFrame:
         n = F.size(f"_{side}")
